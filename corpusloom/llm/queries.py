@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import simhash
+from corpusloom.llm import decontaminate, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate_fmindex": decontaminate.op2_decontaminate_fmindex,
     "op10_simhash_bktree": simhash.op10_simhash_bktree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate_fmindex": decontaminate.OP2_SQL,
+}
