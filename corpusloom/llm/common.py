@@ -23,16 +23,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read back, with its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of this application, which all executors share.
 
-    The folder is the one named in ``spark.checkpoint.dir``; a folder of this machine is taken only where
-    that is unset, as in tests.
+    It lies in the folder named in ``spark.checkpoint.dir``; one of this machine is taken only where that is unset, as in
+    tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read back, with its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
