@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontaminate, mixing, secretscan, simhash
+from corpusloom.llm import decontaminate, licenses, mixing, secretscan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate_fmindex": decontaminate.op2_decontaminate_fmindex,
     "op3_secrets_blob_ledger": secretscan.op3_secrets_blob_ledger,
     "op4_mix_sainte_lague": mixing.op4_mix_sainte_lague,
+    "op6_licenses_set_join": licenses.op6_licenses_set_join,
     "op10_simhash_bktree": simhash.op10_simhash_bktree,
 }
 
@@ -19,4 +20,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate_fmindex": decontaminate.OP2_SQL,
     "op3_secrets_blob_ledger": secretscan.OP3_SQL,
     "op4_mix_sainte_lague": mixing.OP4_SQL,
+    "op6_licenses_set_join": licenses.OP6_SQL,
 }
