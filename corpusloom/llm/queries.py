@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontaminate, licenses, mixing, secretscan, simhash
+from corpusloom.llm import chat, decontaminate, imatch, licenses, mixing, secretscan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate_fmindex": decontaminate.op2_decontaminate_fmindex,
     "op3_secrets_blob_ledger": secretscan.op3_secrets_blob_ledger,
     "op4_mix_sainte_lague": mixing.op4_mix_sainte_lague,
+    "op5_fingerprints_imatch": imatch.op5_fingerprints_imatch,
     "op6_licenses_set_join": licenses.op6_licenses_set_join,
+    "op7_chat_templates": chat.op7_chat_templates,
     "op10_simhash_bktree": simhash.op10_simhash_bktree,
 }
 
@@ -21,4 +23,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_secrets_blob_ledger": secretscan.OP3_SQL,
     "op4_mix_sainte_lague": mixing.OP4_SQL,
     "op6_licenses_set_join": licenses.OP6_SQL,
+    "op7_chat_templates": chat.OP7_SQL,
 }
