@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import chat, decontaminate, imatch, licenses, mixing, secretscan, simhash
+from corpusloom.llm import bigru, chat, decontaminate, imatch, licenses, mixing, secretscan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid_bigru": bigru.op1_langid_bigru,
     "op2_decontaminate_fmindex": decontaminate.op2_decontaminate_fmindex,
     "op3_secrets_blob_ledger": secretscan.op3_secrets_blob_ledger,
     "op4_mix_sainte_lague": mixing.op4_mix_sainte_lague,
