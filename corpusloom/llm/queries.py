@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bigru, chat, decontaminate, imatch, licenses, mixing, secretscan, simhash, webpages
+from corpusloom.llm import bigru, chat, decontaminate, imatch, licenses, mixing, secretscan, shards, simhash, webpages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid_bigru": bigru.op1_langid_bigru,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses_set_join": licenses.op6_licenses_set_join,
     "op7_chat_templates": chat.op7_chat_templates,
     "op8_pages_host_paths": webpages.op8_pages_host_paths,
+    "op9_shards_size_tiered": shards.op9_shards_size_tiered,
     "op10_simhash_bktree": simhash.op10_simhash_bktree,
 }
 
