@@ -30,7 +30,7 @@ CAP = 3
 #: Words of a block.
 BLOCK = 64
 #: Words of a shard, about.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
 SEED = 42
 #: A prime above the number of blocks of any shard: multiples of it run through all remainders.
 PRIME = 2147483647
@@ -216,7 +216,7 @@ won AS (
     SELECT source, seats, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source) AS n
     FROM (SELECT source, target, seats, unnest(range(CAST(target / 64 + 3 AS BIGINT))) AS k FROM s3)) WHERE n <= seats GROUP BY source),
 s4 AS (
-  SELECT s3.source, words AS source_size, target, coalesce(quota, 0) AS source_quota, ceil(greatest(words, 1) / 4194304)::BIGINT AS shards
+  SELECT s3.source, words AS source_size, target, coalesce(quota, 0) AS source_quota, ceil(greatest(words, 1) / 262144)::BIGINT AS shards
   FROM s3 LEFT JOIN won ON s3.source IS NOT DISTINCT FROM won.source),
 d1 AS (
   SELECT z.*, s.source_size, s.target, s.source_quota, {_BITS.format("'shard:' || coalesce(CAST(doc_id AS VARCHAR), '')")} % s.shards AS shard
