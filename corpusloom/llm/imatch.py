@@ -30,10 +30,12 @@ from corpusloom.llm.common import batches_of, bounded_batches, durable, item_wor
 
 #: The band of document frequency, as shares of all documents.
 LOW, HIGH = 0.002, 0.05
-#: The part of the lexicon in each subset, in 1/32; the first is the whole lexicon.
-SUBSETS = (32, 21, 21, 21, 8, 8, 8, 8, 2, 2, 2, 2, 1, 1, 1, 1)
+#: The part of the lexicon in each subset, in 1/256; the first is the whole lexicon.
+SUBSETS = (256, *(171,) * 3, *(32,) * 4, *(4,) * 8, *(1,) * 16)
 #: Terms whose counts a task holds before it passes them on.
 HELD = 400_000
+#: Terms that may be sent to all tasks.
+SENT_TERMS = 2_000_000
 SEED = 42
 
 
@@ -43,30 +45,67 @@ def term_hashes(text: bytes) -> np.ndarray:
     return np.sort(np.fromiter(map(xxhash.xxh64_intdigest, terms), dtype=np.uint64, count=len(terms)))
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
-    """The sorted hashes of the terms that between ``low`` and ``high`` of the rows of ``docs`` (text) hold."""
-    schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
+def _table(terms: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts, pa.int64())], names=["term", "n"])
+
+
+def _block_counts(docs: DataFrame, share: float) -> DataFrame:
+    """(term, n) of blocks of ``docs`` (text), of terms that ``share`` of a block's rows or more hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
+        rows = 0
 
-        def flush() -> pa.RecordBatch:
-            terms = np.fromiter(map(xxhash.xxh64_intdigest, counts), dtype=np.uint64, count=len(counts))
-            out = pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(list(counts.values()), pa.int64())], schema=schema)
-            counts.clear()
-            return out
+        def block() -> pa.RecordBatch:
+            least = max(1, math.ceil(rows * share))
+            kept = {t: n for t, n in counts.items() if n >= least}
+            return _table(np.fromiter(map(xxhash.xxh64_intdigest, kept), np.uint64, len(kept)), np.fromiter(kept.values(), np.int64, len(kept)))
 
         for batch in batches:
             for text in octets(batch.column(0)):
                 counts.update(set(item_words(text)))
+                rows += 1
                 if len(counts) >= HELD:
-                    yield flush()
-        yield flush()
+                    yield block()
+                    counts.clear()
+                    rows = 0
+        yield block()
+
+    return docs.select("text").mapInArrow(run, "term bigint, n bigint")
 
+
+def _exact_counts(docs: DataFrame, terms: np.ndarray) -> DataFrame:
+    """(term, n) of parts of ``docs`` (text), of the sorted ``terms`` alone."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(shared.value, dtype=np.uint64)
+        counts = np.zeros(len(known), dtype=np.int64)
+        for batch in batches:
+            for text in octets(batch.column(0)):
+                if text:
+                    counts[np.searchsorted(known, _held(known, term_hashes(text)))] += 1
+        some = counts > 0
+        yield _table(known[some], counts[some])
+
+    return docs.select("text").mapInArrow(run, "term bigint, n bigint")
+
+
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
+    """The sorted hashes of the terms that between ``low`` and ``high`` of the rows of ``docs`` (text) hold.
+
+    A term with that share of all rows has it in one block of rows at least, so only terms that do are counted over the
+    corpus. Where their number isn't small, as it may be in corpora of many kinds, all terms are counted in one go.
+    """
     bounded_batches(docs.sparkSession)
     total = docs.count()
-    terms = docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    band = terms.filter(F.col("n").between(math.ceil(total * low), math.floor(total * high))).select("term").toArrow()
+    likely = durable(_block_counts(docs, low).select("term").distinct())
+    if likely.count() <= SENT_TERMS:
+        counts = _exact_counts(docs, np.sort(likely.toArrow().column(0).to_numpy().view(np.uint64)))
+    else:
+        counts = _block_counts(docs, 0.0)
+    counts = counts.groupBy("term").agg(F.sum("n").alias("n"))
+    band = counts.filter(F.col("n").between(math.ceil(total * low), math.floor(total * high))).select("term").toArrow()
     return np.sort(band.column(0).to_numpy().view(np.uint64))
 
 
@@ -78,20 +117,20 @@ def _held(lex: np.ndarray, terms: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: bytes, lex: np.ndarray) -> np.ndarray:
-    """A hash of 32 bits for each subset; 0 where the text has no term of it."""
+    """A hash of 16 bits for each subset; 0 where the text has no term of it."""
     terms = term_hashes(text)
     kept = _held(lex, terms)
     if not len(kept):
         kept = terms if len(terms) else np.array([xxhash.xxh64_intdigest(text, SEED)], dtype=np.uint64)
-    out = np.zeros(len(SUBSETS), dtype=np.uint32)
+    out = np.zeros(len(SUBSETS), dtype=np.uint16)
     for k, part in enumerate(SUBSETS):
-        if part == 32:
+        if part == 256:
             own = kept
         else:
             mixed = (kept ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
-            own = kept[(mixed >> np.uint64(59)) < np.uint64(part)]
+            own = kept[(mixed >> np.uint64(56)) < np.uint64(part)]
         if len(own):
-            out[k] = max(1, xxhash.xxh32_intdigest(own.tobytes(), SEED + k))
+            out[k] = 1 + xxhash.xxh32_intdigest(own.tobytes(), SEED + k) % 0xFFFF
     return out
 
 
@@ -117,7 +156,7 @@ _EDGE_TYPE = pa.schema([*_ROW_TYPE, ("part", pa.int32()), ("edge", pa.string()),
 
 
 def _text(prints: np.ndarray) -> str:
-    return prints.astype(">u4").tobytes().hex()
+    return prints.astype(">u2").tobytes().hex()
 
 
 def _compared(doc_id: int | None, text: str, own: np.ndarray, following: str, next_: np.ndarray, lex: np.ndarray) -> dict:
