@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def growing(spark: SparkSession, pattern: str, schema: T.StructType, files: int = 16) -> DataFrame:
-    """The rows of the Parquet files under ``pattern``, as they arrive, ``files`` a batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "*.parquet").parquet(pattern)
+def growing(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", files: int = 16) -> DataFrame:
+    """The rows of the Parquet files of ``folder`` whose names match, as they arrive, ``files`` a batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", names).parquet(folder)
 
 
 def windowed(events: DataFrame, width: str = "1 hour", late: str = "1 day") -> DataFrame:
