@@ -66,9 +66,10 @@ class Bits:
 
 
 class FMIndex:
-    """Counts and locates phrases in ``text``, an array of symbols 0..symbols-1."""
+    """Counts and locates phrases in ``text``, an array of symbols 0..symbols-1; n: rows of the index."""
 
     def __init__(self, text: np.ndarray, symbols: int):
+        text, symbols = np.r_[text + 1, 0].astype(np.int32), symbols + 1  # 0 ends the text, so steps back are exact
         order = suffix_array(text, symbols)
         self.n = len(text)
         self.starts = np.r_[0, np.cumsum(np.bincount(text, minlength=symbols))]
@@ -112,7 +113,7 @@ class FMIndex:
             live = live[(lengths[live] > back) & (low[live] < high[live])]
             if not len(live):
                 break
-            symbol = phrases[live, width - 1 - back]
+            symbol = phrases[live, width - 1 - back] + 1
             low[live] = self.starts[symbol] + self.rank(symbol, low[live])
             high[live] = self.starts[symbol] + self.rank(symbol, high[live])
         return low, high
