@@ -45,6 +45,22 @@ def by_key_order(rows: DataFrame, key: Column, position: str) -> DataFrame:
     return rows.orderBy(key.isNull(), key, position)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str, folder: str) -> DataFrame:
+    """``rows`` written to ``folder`` in ``order`` and read back with ``name``, their places from 1.
+
+    Ranges are sorted apart and only their sizes are added up, one row a range, so no task holds all rows. The folder is
+    one that all executors share; it also keeps the places if a range is lost later.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+    held = rows.sparkSession.read.parquet(folder).withColumn("_range", F.shiftright("_at", 33))
+    sizes = held.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = held.join(sizes.select("_range", before.alias("_before")), "_range")
+    return placed.withColumn(name, F.col("_before") + within + 1).select(*rows.columns, name)
+
+
 def page(rows: DataFrame, position: str, offset: int, limit: int, most: int = 500) -> DataFrame:
     """A page of the newest rows first; ``limit`` is held between 1 and ``most``."""
     return rows.orderBy(F.desc(position)).offset(max(0, offset)).limit(max(1, min(limit, most)))
@@ -56,6 +72,24 @@ def last_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> Dat
     return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
 
 
+def tail(rows: DataFrame, position: str, after: int | None, cold: int = 200) -> DataFrame:
+    """The rows after position ``after``; at a cold start, with None, the last ``cold``."""
+    if after is None:
+        return rows.orderBy(F.desc(position)).limit(cold)
+    return rows.filter(F.col(position) > after)
+
+
+def sampled(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows without replacement: those of smallest seeded hash of ``key``, so reruns and other engines agree."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+
+
+def origins(rows: DataFrame, position: str, initial: Column, consumed: Column) -> DataFrame:
+    """``rows`` with origin (initial below the first count, else generated) and likely_consumed (below the second)."""
+    origin = F.when(F.col(position) < initial, "initial").otherwise("generated")
+    return rows.withColumn("origin", origin).withColumn("likely_consumed", F.col(position) < consumed)
+
+
 def recent_same(rows: DataFrame, keys: list[str], order: str, value: str, k: int) -> DataFrame:
     """``rows`` with recent: the ``k`` values before this one of the same keys, oldest first."""
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(-k, -1)

@@ -84,10 +84,14 @@ def exact_dedup_first(t, spark, sf_dir):
     return records.first_of_each(docs, F.col("sha256"), "doc_id")
 
 
-@query("""SELECT doc_id FROM documents d WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM documents k WHERE k.doc_id % 2 = 0 AND k.text = d.text)""")
+@query("""WITH lines AS (SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS old,
+  trim(regexp_replace(regexp_replace(text, '[\\r\\n]', ' ', 'g'), ' {2,}', ' ', 'g')) AS t FROM documents)
+SELECT min(doc_id) AS doc_id FROM lines WHERE NOT old AND t IS NOT NULL AND t NOT IN (SELECT t FROM lines WHERE old AND t IS NOT NULL) GROUP BY t""")
 def dedup_against_known(t, spark, sf_dir):
-    docs = t("documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
-    return records.new_only(docs.filter("doc_id % 2 = 1"), docs.filter("doc_id % 2 = 0"), "sha256").select("doc_id")
+    docs = t("documents").select("doc_id", text.sha256(text.normalize(F.col("text"))).alias("sha256")).filter("sha256 IS NOT NULL")
+    labelled = t("labels").select("doc_id").distinct()
+    fresh, known = docs.join(labelled, "doc_id", "left_anti"), docs.join(labelled, "doc_id", "left_semi")
+    return records.first_of_each(records.new_only(fresh, known, "sha256"), F.col("sha256"), "doc_id").select("doc_id")
 
 
 @query("""SELECT doc_id, group_first, group_size FROM (SELECT doc_id, min(doc_id) OVER w AS group_first, count(*) OVER w AS group_size FROM documents WINDOW w AS (PARTITION BY text)) WHERE group_size > 1""")
@@ -142,12 +146,11 @@ def upsert_by_key(t, spark, sf_dir):
 
 
 @query("""SELECT doc_id, row_number() OVER (ORDER BY n IS NULL, n, doc_id) AS place FROM (
-  SELECT doc_id, nullif(try_cast(regexp_extract(source, '^src0*([0-9]+)$', 1) AS BIGINT), 0) AS n FROM documents) ORDER BY place LIMIT 50""")
+  SELECT doc_id, nullif(try_cast(regexp_extract(source, '^src0*([0-9]+)$', 1) AS BIGINT), 0) AS n FROM documents)""")
 def ordered_rewrite(t, spark, sf_dir):
     docs = t("documents").select("doc_id", text.index_from_id(F.col("source"), "src").alias("n"))
-    first = records.by_key_order(docs, F.col("n"), "doc_id").limit(50)  # the report shows the first fifty
-    listed = first.agg(F.collect_list("doc_id").alias("ids"))
-    return listed.select(F.posexplode("ids").alias("place", "doc_id")).select("doc_id", (F.col("place") + 1).cast("bigint").alias("place"))
+    order = [F.col("n").asc_nulls_last(), F.col("doc_id")]
+    return records.numbered(docs, order, "place", streaming.working_folder(spark)).select("doc_id", "place")
 
 
 @query("SELECT doc_id, lang FROM documents ORDER BY doc_id DESC LIMIT 20 OFFSET 40")
@@ -160,10 +163,12 @@ def last_k_per_key(t, spark, sf_dir):
     return records.last_k(t("events").select("event_id", "user_id", "ts"), ["user_id"], [F.desc("ts"), F.desc("event_id")], 3).select("event_id", "user_id")
 
 
-@query("""SELECT conv_id, texts[-2:] AS last_texts FROM (SELECT conv_id, list(substr(text, 1, 30) ORDER BY turn) AS texts FROM conversations GROUP BY conv_id)""")
+@query("""SELECT conv_id, texts[-2:] AS last_texts FROM (SELECT conv_id, list(text ORDER BY turn) AS texts FROM conversations GROUP BY conv_id)""")
 def last_elements(t, spark, sf_dir):
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 30).alias("s")))), lambda x: x["s"])
-    return t("conversations").groupBy("conv_id").agg(parts.alias("texts")).select("conv_id", records.last_elements(F.col("texts"), 2).alias("last_texts"))
+    # The last two of each are chosen before anything is gathered.
+    last = records.last_k(t("conversations").select("conv_id", "turn", "text"), ["conv_id"], [F.desc("turn")], 2)
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    return last.groupBy("conv_id").agg(parts.alias("last_texts"))
 
 
 @query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'purchase'""")
@@ -207,9 +212,8 @@ def integrity(t, spark, sf_dir):
 
 @query("""SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id HAVING count(*) < 4""")
 def short_records(t, spark, sf_dir):
-    rows = t("conversations").groupBy("conv_id").agg(F.collect_list("turn").alias("turns"))
-    n = records.actual_turns(F.lit(None).cast("int"), F.col("turns"), F.lit(None).cast("array<int>"))
-    return rows.select("conv_id", n.cast("bigint").alias("n")).filter("n < 4")
+    rows = t("conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    return rows.filter("n < 4")
 
 
 @query("""SELECT d.lang, count(*) AS n, sum(quality)::BIGINT AS good FROM documents d JOIN labels l USING (doc_id) WHERE toxic = 0 GROUP BY d.lang""")

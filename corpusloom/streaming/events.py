@@ -9,6 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
+
+from corpusloom.operators.records import last_k
 
 
 def growing(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", files: int = 16) -> DataFrame:
@@ -32,3 +35,48 @@ def drain(stream: DataFrame, folder: str, mode: str = "append", each: Callable[[
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     query = (writer.foreachBatch(each) if each else writer.format("parquet").option("path", f"{folder}/rows")).start()
     query.awaitTermination()
+
+
+def sliding(events: DataFrame, width: str, step: str, late: str = "1 day") -> DataFrame:
+    """Counts by window of ``width``, one each ``step``."""
+    bounded = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return bounded.groupBy(F.window("ts", width, step).alias("w")).agg(F.count("*").alias("n"))
+
+
+def sessions(events: DataFrame, key: str, gap: str, late: str = "1 day") -> DataFrame:
+    """Counts by session of each ``key``: events less than ``gap`` apart."""
+    bounded = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return bounded.groupBy(key, F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+
+
+def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, folder: str) -> DataFrame:
+    """The last ``k`` rows of each key of all that a stream has brought so far; at most ``k`` a key are held.
+
+    Each batch writes the state anew under its own number, from that of the batch before, so a batch that runs again
+    after a failure gives the same.
+    """
+    spark = stream.sparkSession
+
+    def each(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        rows = batch
+        if number:
+            rows = rows.unionByName(session.read.schema(stream.schema).parquet(f"{folder}/state-{number - 1}"))
+        last_k(rows, keys, [F.desc(c) for c in order], k).write.mode("overwrite").parquet(f"{folder}/state-{number}")
+
+    drain(stream, folder, each=each)
+    done = committed(spark, f"{folder}/checkpoint/commits")
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{folder}/state-{done[-1]}")
+
+
+def committed(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the batches that a checkpoint has as committed."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{folder}/[0-9]*").select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(int(r["name"]) for r in files.collect())
