@@ -29,7 +29,7 @@ from corpusloom.llm.components import components, local_roots
 
 SEED = 42
 _SPREAD = np.uint64(0x0101010101010101)
-#: Fingerprints of a shard beyond which it is dealt anew by more shared bits.
+#: Fingerprints of a shard beyond which it is dealt anew by more shared bits, and then in pairs of parts.
 SHARD_ROWS = 20_000
 #: Pairs of a query and a tree node that are compared at once.
 FRONTIER = 1 << 20
@@ -240,7 +240,8 @@ def _links_of_shards(lanes: int, radius: int) -> Callable[[Iterator[pa.RecordBat
 def near_links(points: DataFrame, lanes: int, radius: int, masks: list[list[int]], finer: list[int] | None) -> DataFrame:
     """Stars (a, b) of ids of ``points`` (id, fp0..) that link fingerprints within ``radius`` that share a mask's bits.
 
-    A shard of over SHARD_ROWS fingerprints is dealt anew by the masks ``finer``, which likewise keep every link.
+    A shard of over SHARD_ROWS fingerprints is dealt anew by the masks ``finer``, if given, which likewise keep every
+    link; one that is still above is compared in pairs of its parts. Either way all links of a shard are found.
     """
     fps = [f"fp{i}" for i in range(lanes)]
 
@@ -249,20 +250,38 @@ def near_links(points: DataFrame, lanes: int, radius: int, masks: list[list[int]
         return part[0] if lanes == 1 else F.xxhash64(*part)
 
     tables = F.array(*(F.struct(F.lit(i).cast("bigint").alias("t"), key(m).alias("key")) for i, m in enumerate(masks)))
-    shards = points.select("id", *fps, F.explode(tables).alias("s")).select("s.t", "s.key", "id", *fps)
-    if finer:
-        hot = durable(shards.groupBy("t", "key").count().filter(F.col("count") > SHARD_ROWS).select("t", "key"))
-        one = F.array(F.lit(0).cast("bigint"))
-        if hot.isEmpty():
-            sub = shards.withColumn("sub", F.lit(0).cast("bigint"))
-        else:
+    shards = points.select("id", *fps, F.explode(tables).alias("s")).select("s.t", "s.key", F.lit(0).cast("bigint").alias("sub"), "id", *fps)
+    hot = _hot(shards)
+    if not hot.isEmpty():
+        if finer:
             again = F.array(*(F.xxhash64(F.lit(i), F.col("fp0").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(finer)))
-            marked = shards.join(hot.withColumn("hot", F.lit(True)), ["t", "key"], "left")
-            sub = marked.withColumn("sub", F.explode(F.when(F.col("hot"), again).otherwise(one)))
-    else:
-        sub = shards.withColumn("sub", F.lit(0).cast("bigint"))
-    sub = sub.select("t", "key", "sub", "id", *fps).repartition("t", "key", "sub").sortWithinPartitions("t", "key", "sub", "id")
-    return sub.mapInArrow(_links_of_shards(lanes, radius), "a bigint, b bigint")
+            shards = _dealt(shards, hot, again)
+            hot = _hot(shards)
+        shards = _dealt(shards, hot, _pairs_of_parts(F.col("id"), F.col("rows")))
+    dealt = shards.repartition("t", "key", "sub").sortWithinPartitions("t", "key", "sub", "id")
+    return dealt.mapInArrow(_links_of_shards(lanes, radius), "a bigint, b bigint")
+
+
+def _hot(shards: DataFrame) -> DataFrame:
+    """(t, key, sub, rows) of the shards of over SHARD_ROWS fingerprints."""
+    return durable(shards.groupBy("t", "key", "sub").agg(F.count("*").alias("rows")).filter(F.col("rows") > SHARD_ROWS))
+
+
+def _dealt(shards: DataFrame, hot: DataFrame, subs: F.Column) -> DataFrame:
+    """``shards`` whose rows in ``hot`` ones are dealt to each of ``subs``."""
+    marked = shards.join(hot, ["t", "key", "sub"], "left")
+    dealt = F.when(F.col("rows").isNotNull(), subs).otherwise(F.array("sub"))
+    return marked.withColumn("sub", F.explode(dealt)).select(*shards.columns)
+
+
+def _pairs_of_parts(id_: F.Column, rows: F.Column) -> F.Column:
+    """For a shard in parts of half of SHARD_ROWS, the pairs of parts that a fingerprint's part is in.
+
+    Any two fingerprints meet in the pair of their parts, so no link is lost, and a task never holds more than two parts.
+    """
+    parts = F.ceil(rows * 2 / SHARD_ROWS).cast("bigint")
+    own = F.pmod(F.xxhash64(F.lit("part"), id_), parts)
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda i: F.least(i, own) * parts + F.greatest(i, own))
 
 
 def exact_masks(radius: int) -> tuple[list[list[int]], list[int]]:

@@ -230,6 +230,19 @@ def test_simhash_components_by_brute_force(spark):
     assert got == {i: (f"{p:016x}", find(i)) for i, p in prints.items()}
 
 
+def test_large_shards_lose_no_link(spark, monkeypatch):
+    """Fingerprints that all share a mask are dealt by finer masks, then in pairs of parts, and give the same groups."""
+    draw = random.Random(3)
+    prints = list({draw.getrandbits(20) for _ in range(1500)})
+    points = spark.createDataFrame([(p, p) for p in prints], "id long, fp0 long")
+    roots = []
+    for most, finer in ((10**9, None), (40, None), (40, simhash.exact_masks(2)[1])):
+        monkeypatch.setattr(simhash, "SHARD_ROWS", most)
+        links = simhash.near_links(points, 1, 2, simhash.exact_masks(2)[0], finer)
+        roots.append(sorted(tuple(r) for r in simhash.components(links).collect()))
+    assert len(roots[0]) > 100 and roots[0] == roots[1] == roots[2]
+
+
 def test_near_copies_leave_one_and_others_stay(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     sets, places = {}, defaultdict(list)
