@@ -33,6 +33,10 @@ _SPREAD = np.uint64(0x0101010101010101)
 SHARD_ROWS = 20_000
 #: Pairs of a query and a tree node that are compared at once.
 FRONTIER = 1 << 20
+#: Texts whose shingle sets share so much of their union, 4 / 5, are near-duplicates.
+SIMILAR = (4, 5)
+#: Texts of a group, and their bytes, beyond which it is compared in pairs of parts.
+GROUP_ROWS, GROUP_BYTES = 4_000, 16 << 20
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -279,7 +283,10 @@ def _pairs_of_parts(id_: F.Column, rows: F.Column) -> F.Column:
 
     Any two fingerprints meet in the pair of their parts, so no link is lost, and a task never holds more than two parts.
     """
-    parts = F.ceil(rows * 2 / SHARD_ROWS).cast("bigint")
+    return _pairs_of(id_, F.ceil(rows * 2 / SHARD_ROWS).cast("bigint"))
+
+
+def _pairs_of(id_: F.Column, parts: F.Column) -> F.Column:
     own = F.pmod(F.xxhash64(F.lit("part"), id_), parts)
     return F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda i: F.least(i, own) * parts + F.greatest(i, own))
 
@@ -321,20 +328,107 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2) -> Data
     )
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 46, bits: int = 16, tables: int = 32) -> DataFrame:
+def similar_roots(texts: list[bytes | None], width: int, share: tuple[int, int] = SIMILAR) -> np.ndarray:
+    """The smallest member of each text's group, where texts whose shingle sets have a similarity of ``share`` are linked.
+
+    Overlaps are counted through the places of each shingle, one text against all, until a single group is left.
+    """
+    n, (part, whole) = len(texts), share
+    sets = [np.unique(shingle_hashes(x, width)) for x in texts]
+    sizes = np.array([len(x) for x in sets])
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    order = np.argsort(token, kind="stable")
+    holder = np.repeat(np.arange(n), sizes)[order]
+    edges = np.r_[0, np.cumsum(np.bincount(token))] if len(token) else np.zeros(1, dtype=np.int64)
+    root = np.arange(n)
+    for i in range(n):
+        if not root.any():
+            break
+        own = token[ends[i] - sizes[i] : ends[i]]
+        low, many = edges[own], edges[own + 1] - edges[own]
+        at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        overlap = np.bincount(holder[at], minlength=n)
+        near = (overlap * whole >= part * (sizes + sizes[i] - overlap)) & (root != root[i])  # two empty sets are alike
+        if near.any():
+            found = np.flatnonzero(near)
+            root = local_roots(n, np.full(len(found), i), found, root)
+    return root
+
+
+def _links_of_groups(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Maps batches (root, sub, text_hash, text) sorted by (root, sub) to stars (a, b) of the text hashes of like texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+
+        def stars() -> pa.RecordBatch:
+            ids = np.array(list(held), dtype=np.int64)
+            root = similar_roots(list(held.values()), width) if len(ids) > 1 else np.zeros(len(ids), dtype=np.int64)
+            linked = root != np.arange(len(ids))
+            return pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[root[linked]])], names=["a", "b"])
+
+        for batch in batches_of(batches):
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), octets(batch.column(3)), strict=True)
+            for root, sub, text_hash, text in rows:
+                if (root, sub) != key:
+                    if len(held) > 1:
+                        yield stars()
+                    key, held = (root, sub), {}
+                held[text_hash] = text
+        if len(held) > 1:
+            yield stars()
+
+    return run
+
+
+def similar_links(docs: DataFrame, members: DataFrame, width: int, repeated: bool) -> DataFrame:
+    """Stars (a, b) of the text hashes of ``members`` (root, doc_id, text_hash) of one root that are alike by their texts.
+
+    A large group is compared in pairs of its parts: a task holds two parts, and no pair is left out. Where ids are
+    ``repeated`` in ``docs``, their rows are told apart by the hashes.
+    """
+    named = members.select("root", F.col("doc_id").alias("_id"), "text_hash")
+    joined = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("_id")))
+    if repeated:
+        joined = joined.filter(F.udf(_text_hash, "bigint")("text") == F.col("text_hash")).dropDuplicates(["root", "text_hash"])
+    joined = durable(joined.select("root", "text_hash", "text"))
+    size = F.greatest(F.count("*") / GROUP_ROWS, F.sum(F.coalesce(F.octet_length("text"), F.lit(0))) / GROUP_BYTES)
+    large = joined.groupBy("root").agg(size.alias("size")).filter("size > 1")
+    parts = F.ceil(F.col("size") * 2).cast("bigint")
+    subs = F.when(F.col("size").isNotNull(), _pairs_of(F.col("text_hash"), parts)).otherwise(F.array(F.lit(0).cast("bigint")))
+    dealt = joined.join(large, "root", "left").select("root", F.explode(subs).alias("sub"), "text_hash", "text")
+    dealt = dealt.repartition("root", "sub").sortWithinPartitions("root", "sub")
+    bounded_batches(docs.sparkSession)
+    return dealt.mapInArrow(_links_of_groups(width), "a bigint, b bigint")
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 64, bits: int = 12, tables: int = 48) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, that of the smallest doc_id; all its columns are kept.
 
-    Two texts whose shingle sets have a similarity of 0.8 differ in 39 of 256 bits on average, with a deviation of
-    5.7; the radius of 46 links most of those and hardly any at 0.6. Shards share ``bits`` sampled bits. Repeated
-    rows are copies of each other: one stays.
+    Texts are linked if their shingle sets have a similarity of SIMILAR or more. Fingerprints only find what is compared:
+    two texts with a similarity of 0.8 differ in 39 of 256 bits on average, with a deviation of 5.7, so the radius is
+    four deviations above. Shards share ``bits`` sampled bits. All texts of a group of fingerprints are compared by
+    their sets, and what is alike makes the components. Repeated rows are copies of each other: one stays.
     """
     prints = durable(fingerprints(docs, width, lanes))
-    groups = near_groups(prints, lanes, radius, sampled_bits(lanes, bits, tables), None)
     fps = [f"fp{i}" for i in range(lanes)]
-    kept = prints.join(groups, fps).filter("doc_id <=> component_id and text_hash = keep_hash").select("doc_id", "text_hash")
-    kept = durable(kept.distinct().select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *fps)).alias("first")
+    texts = prints.groupBy("text_hash").agg(first).select("text_hash", "first.doc_id", *(f"first.{f}" for f in fps))
+    # An id of 64 bits for a longer fingerprint; where two share it, their texts are compared in one group.
+    texts = durable(texts.withColumn("id", F.xxhash64(*fps)))
+    stars = near_links(durable(texts.select("id", *fps).distinct()), lanes, radius, sampled_bits(lanes, bits, tables), None)
+    roots = components(stars).withColumnRenamed("node", "id")
+    rooted = durable(texts.join(roots, "id", "left").select("text_hash", "doc_id", F.coalesce("root", "id").alias("root")))
+    several = rooted.groupBy("root").count().filter("count > 1").select("root")
+    members = durable(rooted.join(several, "root", "left_semi"))
+    repeated = not prints.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    alike = components(similar_links(docs, members, width, repeated)).select(F.col("node").alias("text_hash"), F.col("root").alias("like"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least")
+    kept = rooted.join(alike, "text_hash", "left").groupBy(F.coalesce("like", "text_hash")).agg(least)
+    kept = durable(kept.select(F.col("least.doc_id").alias("_kept_id"), F.col("least.text_hash").alias("_kept_hash")))
     same_id = F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    if prints.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    if not repeated:
         return docs.join(kept, same_id, "left_semi")
     marked = docs.withColumn("_text_hash", F.udf(_text_hash, "bigint")("text"))
     same = same_id & (F.col("_text_hash") == F.col("_kept_hash"))
