@@ -1,4 +1,4 @@
-"""License scans: an exact set-similarity join of text blocks (lines) with license templates.
+"""License scans: an exact set-similarity join of text blocks (lines, and windows across them) with license templates.
 
 A template is found in a block if at least THRESHOLD of its distinct words are among the block's. Words are ordered by
 how many documents of the whole corpus hold them, rarest first. A block that holds a template must hold one of the
@@ -6,6 +6,10 @@ template's first words (prefix filter), have enough words (length filter) and, f
 leave enough words on both sides (position filter). What passes is verified, so the join is exact. The base phrases
 are templates whose words must all be in the document; those that pass are looked up as consecutive words.
 
+A notice may be wrapped: in a paragraph of several lines, each run of as many words as a template has is a block for
+that template, too; the fullest of a document is kept. OP6_SQL looks at single lines only, so it is the same rows where
+no notice is wrapped.
+
 Only the words of the templates take part in an overlap, so only they are counted, ordered and kept of a block.
 
 Defined cases: a null text is empty and has no words; repeated rows each get their result; equal rows share one join;
@@ -94,21 +98,50 @@ def phrase_places(words: list[bytes], phrase: list[bytes]) -> list[int]:
         return found
 
 
-_SCANNED = "doc_id bigint, key bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, blocks array<array<int>>"
+def fullest_windows(words: list[int], lengths: list[int], sets: list[set[int]], least: list[int]) -> dict[int, tuple[int, int]]:
+    """For each template met in some run of ``lengths`` consecutive ``words``: (distinct words met, start) of the first fullest run."""
+    found = {}
+    present = set(words)
+    for t, own in enumerate(sets):
+        if not own or len(present & own) < least[t]:
+            continue
+        held: Counter[int] = Counter()
+        best = (0, 0)
+        for end, word in enumerate(words):
+            if word in own:
+                held[word] += 1
+            gone = end - lengths[t]
+            if gone >= 0 and words[gone] in own:
+                held[words[gone]] -= 1
+                if not held[words[gone]]:
+                    del held[words[gone]]
+            if len(held) > best[0]:
+                best = (len(held), max(0, gone + 1))
+        if best[0] >= least[t]:
+            found[t] = best
+    return found
+
+
+_SCANNED = "doc_id bigint, key bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, blocks array<array<int>>, windows array<array<int>>"
 _SCANNED_TYPE = pa.schema([
     ("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
     ("last_word", pa.int64()), ("base_labels", pa.list_(pa.string())), ("blocks", pa.list_(pa.list_(pa.int32()))),
+    ("windows", pa.list_(pa.list_(pa.int32()))),
 ])
 
 
 def scanned(docs: DataFrame, order: dict[bytes, int], threshold: float) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with the places of base phrases and its candidate blocks.
 
-    A block is the ordered list of its template words; those without a word of any template's prefix are left out.
+    A block is the ordered list of its template words; those without a word of any template's prefix are left out. A
+    window is that of the words of a run across lines, after the number of the template that it is for.
     """
     phrases = [(text.encode().split(), label) for text, label in PHRASES]
     rarest = [min(words, key=lambda w: (order[w], w)) for words, _ in phrases]
     heads = {w for words in word_sets(TEMPLATES) for w in prefix(words, order, threshold)}
+    lengths = [len(item_words(text.encode())) for text, _ in TEMPLATES]
+    sets = [{order[w] for w in words} for words in word_sets(TEMPLATES)]
+    least = [needed(len(s), threshold) for s in sets]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +149,29 @@ def scanned(docs: DataFrame, order: dict[bytes, int], threshold: float) -> DataF
             for doc_id, text in zip(batch.column(0).to_pylist(), octets(batch.column(1)), strict=True):
                 words: list[bytes] = []
                 blocks = []
+                fullest: dict[int, tuple[int, list[int]]] = {}
+                paragraph: list[bytes] = []
+                lines = 0
+
+                def end_paragraph() -> None:
+                    if lines > 1 and not heads.isdisjoint(paragraph):
+                        ranks = [order.get(w, -1) for w in paragraph]
+                        for t, (n, at) in fullest_windows(ranks, lengths, sets, least).items():
+                            if n > fullest.get(t, (0, []))[0]:
+                                fullest[t] = n, sorted({r for r in ranks[at : at + lengths[t]] if r >= 0})
+
                 for line in (text or b"").split(b"\n"):
                     own = item_words(line)
                     words += own
+                    if own:
+                        paragraph += own
+                        lines += 1
+                    else:
+                        end_paragraph()
+                        paragraph, lines = [], 0
                     if not heads.isdisjoint(own):
                         blocks.append(sorted(order[w] for w in set(own) if w in order))
+                end_paragraph()
                 places: list[int] = []
                 labels = []
                 for (phrase, label), rare in zip(phrases, rarest, strict=True):
@@ -129,7 +180,7 @@ def scanned(docs: DataFrame, order: dict[bytes, int], threshold: float) -> DataF
                         labels.append(label)
                 key = xxhash.xxh64_intdigest(text or b"") - (1 << 63)
                 first, last = (min(places), max(places)) if places else (None, None)
-                rows.append((doc_id, key, len(words), len(places), first, last, sorted(set(labels)), blocks))
+                rows.append((doc_id, key, len(words), len(places), first, last, sorted(set(labels)), blocks, [[t, *w] for t, (_, w) in sorted(fullest.items())]))
             yield pa.RecordBatch.from_pylist([dict(zip(_SCANNED_TYPE.names, r, strict=True)) for r in rows], schema=_SCANNED_TYPE)
 
     bounded_batches(docs.sparkSession)
@@ -167,9 +218,13 @@ def license_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = durable(scanned(docs, order, threshold))
     known = [(i, label, len(s), sorted(order[w] for w in s)) for i, ((_, label), s) in enumerate(zip(TEMPLATES, sets, strict=True))]
     templates = spark.createDataFrame(known, "template int, label string, size int, tokens array<int>")
-    some = rows.filter(F.size("blocks") > 0).dropDuplicates(["doc_id", "key"])
-    blocks = some.select("doc_id", "key", F.posexplode("blocks").alias("block", "tokens"))
-    found = containment_join(blocks, templates, threshold).join(templates.drop("tokens"), "template")
+    some = rows.filter((F.size("blocks") > 0) | (F.size("windows") > 0)).dropDuplicates(["doc_id", "key"])
+    blocks = some.select("doc_id", "key", F.lit(-1).alias("only"), F.posexplode("blocks").alias("block", "tokens"))
+    windows = some.select("doc_id", "key", F.explode("windows").alias("w")).select(
+        "doc_id", "key", F.col("w")[0].alias("only"), F.lit(-1).alias("block"), F.slice("w", F.lit(2), F.size("w") - 1).alias("tokens")
+    )
+    met = containment_join(blocks.union(windows), templates, threshold).filter("only IN (-1, template)")
+    found = met.join(templates.drop("tokens"), "template")
     by_row = found.groupBy("doc_id", "key").agg(
         F.collect_set("label").alias("found"), F.max(F.col("overlap") / F.col("size")).alias("share")
     ).withColumnsRenamed({"doc_id": "_id", "key": "_key"})

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import textwrap
 from collections import defaultdict
 
 import numpy as np
@@ -159,6 +160,20 @@ def test_containment_join_by_brute_force(spark):
     assert {(r["block"], r["template"]) for r in got.collect()} == want
 
 
+def test_wrapped_notices_are_found(spark):
+    """Notices that are wrapped at 60 columns, in comments or not, have the label of their template, and blank lines part them."""
+    rows = []
+    for i, (text, _) in enumerate(licenses.TEMPLATES):
+        lines = textwrap.wrap(text, 60 if len(text) > 60 else 24)
+        rows += [(2 * i, "Some words first\n\n" + "\n".join(lines)), (2 * i + 1, "/*\n * " + "\n * ".join(lines) + "\n */")]
+    rows += [(1000, "permission is hereby granted free of charge\n\nto any person obtaining a copy of this\n\nsoftware and associated documentation files")]
+    got = {r["doc_id"]: r for r in licenses.license_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (_, label) in enumerate(licenses.TEMPLATES):
+        for r in (got[2 * i], got[2 * i + 1]):
+            assert label in r["labels"].split(",") and r["score"] == 1.0
+    assert got[1000]["labels"] == ""
+
+
 def test_template_language():
     run = templates.compile_template("{% set x = 'a' + 'b' %}{% for m in ms %}{% if loop.first %}{{ x }}{% elif m.k == 2 and not loop.last %}two{% else %}{{ m['k'] }}{% endif %}{% endfor %}{% if 'a' == 'b' %}no{% endif %}")
     assert "".join(t for t, _ in run(ms=[{"k": 1}, {"k": 2}, {"k": 2}])) == "abtwo2"
