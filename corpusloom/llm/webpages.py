@@ -1,7 +1,8 @@
 """Main text of web pages through consensus paths of their hosts.
 
 Every page is parsed leniently and its containers are scored: from the page's body the search goes down as long as
-one child container holds most of the text that is not in a menu, form, notice, advert or the like. The path of what it
+one child container holds most of the text that is not in a menu, form, notice, advert or the like, but not below an
+article, nor to where the page's heading is left behind; a main is left only for an article that has all its text. The path of what it
 ends at (tags with their classes, digits generalised) is the page's vote. Spark counts the votes of each host, and each
 page is extracted again from the first of its host's winning paths that it has.
 
@@ -49,6 +50,7 @@ _BLOCK = frozenset((
     "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li",
     "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 ))
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _CONTAINER = frozenset(("html", "body", "main", "article", "section", "div", "td", "center"))
 _DROPPED = frozenset((
     "script", "style", "noscript", "template", "iframe", "svg", "canvas", "object", "button", "select", "textarea", "form", "nav",
@@ -79,15 +81,18 @@ class Container:
     path: str
     parent: int
     worth: float
+    main: bool = False
     mass: int = 0
+    headed: bool = False
 
 
 @dataclass
 class Page:
-    """Containers, parents first, and blocks: (container, text)."""
+    """Containers, parents first, blocks: (container, text), and the level and container of the first heading of the highest level."""
 
     containers: list[Container] = field(default_factory=lambda: [Container("", -1, 1.0)])
     blocks: list[tuple[int, str]] = field(default_factory=list)
+    heading: tuple[str, int] | None = None
 
 
 def _label(tag: str, names: str) -> str:
@@ -129,6 +134,11 @@ def parse(source: str) -> Page:
                 at = stack[-1][1]
                 blocks.append((at, text))
                 containers[at].mass += max(0, len(text) - linked)
+                level = next((x[0] for x in reversed(stack) if x[0] in _BLOCK), "")
+                if level in _HEADINGS and len(text) > linked:
+                    containers[at].headed = True
+                    if page.heading is None or level < page.heading[0]:
+                        page.heading = level, at
         linked = 0
 
     def pop_to(place: int) -> None:
@@ -196,7 +206,7 @@ def parse(source: str) -> Page:
             path = f"{containers[own].path}/{_label(tag, names)}"
             main = tag in ("article", "main") or attributes.get("role") == "main"
             some = re.search(r"(?:^|[\s_-])(?:content|article|post|entry|story|main|body|text)(?:$|[\s_-])", names)
-            containers.append(Container(path, own, 1.5 if main else 1.2 if some else 1.0))
+            containers.append(Container(path, own, 1.5 if main else 1.2 if some else 1.0, main))
             own = len(containers) - 1
         stack.append((tag, own, drop, link or tag == "a", inside or tag in ("article", "main")))
         if tag in _RAW:
@@ -211,15 +221,29 @@ def parse(source: str) -> Page:
 def vote(page: Page) -> str:
     """The path of the container that the search for the main text ends at; '' is the whole page."""
     mass = [c.mass for c in page.containers]
+    headed, main = [c.headed for c in page.containers], [c.main for c in page.containers]
     children: list[list[int]] = [[] for _ in mass]
     for k in range(len(mass) - 1, 0, -1):
-        mass[page.containers[k].parent] += mass[k]
-        children[page.containers[k].parent].append(k)
-    at = 0
+        up = page.containers[k].parent
+        mass[up] += mass[k]
+        headed[up], main[up] = headed[up] or headed[k], main[up] or main[k]
+        children[up].append(k)
+    title = set()  # the containers that hold the page's heading
+    k = page.heading[1] if page.heading else -1
+    while k >= 0:
+        title.add(k)
+        k = page.containers[k].parent
+    at, inside = 0, False
     while children[at]:
+        inside = inside or page.containers[at].main
         best = max(children[at], key=lambda k: (mass[k] * page.containers[k].worth, -k))
         if mass[best] * page.containers[best].worth < MOST * mass[at] or not mass[best]:
             break
+        if inside and (not main[best] or mass[best] < mass[at] or page.containers[at].path.rpartition("/")[2].split(".")[0] == "article"):
+            break
+        # A heading outside is that of the site only where an article or main below has its own.
+        if at in title and best not in title and not (main[best] and headed[best]):
+            break
         at = best
     return page.containers[at].path
 

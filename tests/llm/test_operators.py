@@ -197,6 +197,19 @@ def test_pages():
     assert webpages.extract("", ["/x"]) == "" and webpages.extract("<p", []) == "" and webpages.extract("a < b", []) == "a < b"
 
 
+def test_an_article_keeps_what_stands_beside_its_body():
+    body = "<p>" + "body text " * 40 + "</p>"
+    text = ("body text " * 40).strip()
+    for inner in ("div class='entry-content'", "section"):
+        wrapped = f"<h1>T</h1><p>lede</p><{inner}>{body}</{inner.split()[0]}><p>end</p>"
+        for outer in ("article", "main", "div class='post'", "div"):
+            page = f"<body><div class='x'>stray</div><{outer}>{wrapped}</{outer.split()[0]}></body>"
+            assert webpages.extract(page, []) == f"T\nlede\n{text}\nend"
+    page = f"<body><h1>Site</h1><main><p>note</p><article><h2>T</h2><div class='text'>{body}</div><p>end</p></article></main></body>"
+    assert webpages.extract(page, []) == f"note\nT\n{text}\nend"
+    assert webpages.extract(f"<body><h1>T</h1><article>{body}</article></body>", []) == f"T\n{text}"
+
+
 def test_host_votes_outweigh_a_page(spark):
     body = "<body><div class='a'>%s</div><div class='b'>%s</div></body>"
     pages = [(i, f"http://h/{i}", body % ("long text " * 30, "x")) for i in range(9)] + [(9, "http://h/9", body % ("short", "other words " * 30))]
