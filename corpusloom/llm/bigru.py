@@ -34,6 +34,8 @@ SEED = 42
 PIECES = 2048
 #: Documents whose best language has less than this mean probability are rejected by ``keep_identified``.
 KEPT_SCORE = 0.3
+#: Likewise those with less than so many times the probability of chance, which is above KEPT_SCORE for few languages.
+KEPT_CHANCE = 1.2
 
 Model = dict[str, np.ndarray]
 
@@ -247,8 +249,16 @@ def identify(docs: DataFrame, learned: tuple[list[str], Model] | None) -> DataFr
 
 
 def keep_identified(docs: DataFrame, least: float = KEPT_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a mean probability of ``least``; all columns are kept."""
-    found = identify(docs, learn(docs.select("doc_id", "text", "lang")))
+    """The rows of ``docs`` whose language is found with a mean probability of ``least``; all columns are kept.
+
+    With k languages the best one has 1 / k at least, so ``least`` is KEPT_CHANCE / k or more. Where no row has a language
+    to learn from, or all have the same, none can be told from others: the rows with a letter are kept.
+    """
+    learned = learn(docs.select("doc_id", "text", "lang"))
+    if learned is None or len(learned[0]) == 1:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    least = max(least, KEPT_CHANCE / len(learned[0]))
+    found = identify(docs, learned)
     return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
 
 

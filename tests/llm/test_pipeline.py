@@ -28,3 +28,16 @@ def test_odd_rows_pass_and_letterless_ones_go(spark, tmp_path):
     spark.createDataFrame([], rows.schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_languages_are_rejected_by_chance_and_letters_kept_without_labels(spark, monkeypatch):
+    from corpusloom.llm import bigru
+
+    rows = [(i, f"some words {i}", None) for i in range(20)] + [(20, "12 !", None), (21, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in bigru.keep_identified(docs).collect()) == list(range(20))
+    flat = {k: v * 0 for k, v in bigru._start(2).items()}
+    for tilt, kept in ((0.1, 0), (2.0, 20)):
+        model = flat | {"bias": flat["bias"] + [0, tilt]}
+        monkeypatch.setattr(bigru, "learn", lambda _, m=model: (["a", "b"], {k: v.astype("float32") for k, v in m.items()}))
+        assert bigru.keep_identified(docs).count() == kept
