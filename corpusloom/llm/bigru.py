@@ -13,17 +13,21 @@ gives no rows; other columns are kept by ``keep_identified``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.llm.common import batches_of, bounded_batches, octets, table
+from corpusloom.llm.common import batches_of, bounded_batches, free_names, octets, own_columns, table
 
 #: Documents of each language, and languages, that are learned from.
 SAMPLE, LANGUAGES = 500, 64
+#: So many times the sample are ranked of a language with more documents; languages for which that is done.
+ROOM, COUNTED = 8, 1024
 #: Pieces of each document that are learned, the bytes of such a piece, and of one that is labelled.
 LEARNED_PIECES, LEARNED, PIECE = 3, 96, 128
 #: State of each direction.
@@ -211,10 +215,28 @@ def learn(docs: DataFrame) -> tuple[list[str], Model] | None:
         part = F.substring("text", F.pmod(draw, F.greatest(F.length("text") - LEARNED, F.lit(0)) + 1) + 1, F.lit(LEARNED))
         return F.when(F.pmod(F.shiftrightunsigned(draw, 32), F.lit(5)) == 0, F.upper(part)).otherwise(part)
 
-    rows = rows.select("lang", key.alias("key"), F.array(*map(piece, range(LEARNED_PIECES))).alias("pieces"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key", "pieces"))
-    best = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE)
-    best = best.orderBy("place", "lang").limit(SAMPLE * LANGUAGES).collect()
+
+    def smallest(some: DataFrame) -> list[Row]:
+        cut = some.select("lang", key.alias("key"), F.array(*map(piece, range(LEARNED_PIECES))).alias("pieces"))
+        best = cut.withColumn("place", place).filter(F.col("place") <= SAMPLE)
+        return best.orderBy("place", "lang").limit(SAMPLE * LANGUAGES).collect()
+
+    # Keys are spread evenly, so those below a bound that ROOM * SAMPLE of a language's rows are expected to be under hold
+    # the SAMPLE smallest, and no task ranks more than about these. Where they don't, as few texts have a letter, all are
+    # ranked; so are those of the languages that come after the first COUNTED.
+    able = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    counts = able.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("n")).filter(F.col("n") > ROOM * SAMPLE)
+    counts = counts.orderBy(F.desc("n"), "l").limit(COUNTED).collect()
+    if not counts:
+        best = smallest(rows)
+    else:
+        many = F.broadcast(docs.sparkSession.createDataFrame([(r["l"], float(ROOM * SAMPLE) / r["n"]) for r in counts], "l string, share double"))
+        below = key < F.col("share") * 2.0**64 - 2.0**63
+        best = smallest(rows.join(many, F.col("lang") == F.col("l"), "left").filter(F.col("share").isNull() | below))
+        found = Counter(r["lang"] for r in best)
+        if len(best) < SAMPLE * LANGUAGES and any(found[r["l"]] < SAMPLE for r in counts):
+            best = smallest(rows)
     known = sorted((r["lang"], r["key"], p.encode()) for r in best for p in r["pieces"] if p)
     if not known:
         return None
@@ -222,8 +244,8 @@ def learn(docs: DataFrame) -> tuple[list[str], Model] | None:
     return langs, train([x[2] for x in known], np.array([langs.index(x[0]) for x in known]), len(langs))
 
 
-def identify(docs: DataFrame, learned: tuple[list[str], Model] | None) -> DataFrame:
-    """``docs`` (with a column text) with lang_pred and score."""
+def identify(docs: DataFrame, learned: tuple[list[str], Model] | None, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` (with a column text) with the columns ``pred`` and ``score``, which it doesn't have yet."""
     at = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(learned)
 
@@ -240,16 +262,17 @@ def identify(docs: DataFrame, learned: tuple[list[str], Model] | None) -> DataFr
                     if t:
                         names[k], scores[k] = best[t][0], min(1.0, best[t][1])
             columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], pred, score])
 
     bounded_batches(docs.sparkSession)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    lettered = docs.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return lettered.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    (lettered,) = free_names(docs.columns, "_lettered")
+    marked = docs.withColumn(lettered, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return marked.mapInArrow(run, schema)
 
 
 def keep_identified(docs: DataFrame, least: float = KEPT_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a mean probability of ``least``; all columns are kept.
+    """The rows of ``docs`` whose language is found with a mean probability of ``least``; its columns, and no others, are kept.
 
     With k languages the best one has 1 / k at least, so ``least`` is KEPT_CHANCE / k or more. Where no row has a language
     to learn from, or all have the same, none can be told from others: the rows with a letter are kept.
@@ -258,8 +281,9 @@ def keep_identified(docs: DataFrame, least: float = KEPT_SCORE) -> DataFrame:
     if learned is None or len(learned[0]) == 1:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     least = max(least, KEPT_CHANCE / len(learned[0]))
-    found = identify(docs, learned)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    pred, score = free_names(docs.columns, "lang_pred", "score")
+    found = identify(docs, learned, pred, score)
+    return found.filter((F.col(pred) != "und") & (F.col(score) >= least)).select(*own_columns(docs))
 
 
 def op1_langid_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:

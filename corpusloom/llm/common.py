@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -26,12 +27,17 @@ def bounded_batches(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of this application, which all executors share.
 
-    It lies in the folder named in ``spark.checkpoint.dir``; one of this machine is taken only where that is unset, as in
-    tests.
+    It lies in the folder named in ``spark.checkpoint.dir``. Where that is unset, a folder of this machine is taken if the
+    master is local, as in tests; on a cluster that is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
@@ -41,6 +47,27 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, each behind as many underscores as set it apart from all ``columns``, whose case doesn't count."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark's expressions read it, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` as they are, to be selected from what was derived from it."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

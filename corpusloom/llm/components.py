@@ -28,15 +28,16 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None =
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("low"))
+    """(a, low), written: a join with it has plain shuffles on both sides, which Spark splits where a node has very many links."""
+    return durable(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("low")))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b: comparable ids); root is the smallest node it reaches.
 
-    Alternating large-star and small-star rounds, each an aggregation and a join whose partial sums Spark makes
-    before the shuffle; a node with very many links is never gathered in one task. Empty links give no rows;
-    repeated links and self-links are harmless.
+    Alternating large-star and small-star rounds, each a minimum and a join. Minima are made in part before the shuffle,
+    and the adaptive join splits a node with very many links over several tasks. Empty links give no rows; repeated links
+    and self-links are harmless.
     """
     edges = durable(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -44,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = _lowest(both).select("a", F.least("a", "low").alias("low"))
+        low = _lowest(both)
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = durable(large.distinct())
         low = _lowest(large)

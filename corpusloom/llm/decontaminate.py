@@ -5,12 +5,13 @@ each task cuts its documents into shards, makes an FM-index of a shard's words,
 by backward search, locates them through sampled suffix positions and merges them to spans. The alphabet of an index
 is the benchmark's vocabulary; every other word is one symbol that no window contains. Documents are not shuffled.
 
-A benchmark of over BLOCK_WORDS words is searched in blocks of items, so that what is broadcast is bounded; the spans
-of the blocks are merged document by document.
+A benchmark of over BLOCK_BYTES of text is searched in blocks of items, so that what the driver and an executor hold is
+bounded; what the blocks find is merged text by text.
 
-Defined cases: a null text has no words; an item without words has no window; items that share an id count once;
-a null item id counts as the empty string; equal texts of a shard are indexed once and reported for each row;
-an empty table gives no rows; all columns of the documents are kept by ``remove_benchmark``.
+Defined cases: a null text has no words and stays null; an item without words has no window; items that share an id count
+once; a null item id counts as the empty string; equal texts of a shard are indexed once and reported for each row; an
+empty table gives no rows; all columns of the documents, and no others, are returned by ``remove_benchmark``, which
+chooses the names it needs apart from them.
 """
 
 from __future__ import annotations
@@ -18,21 +19,23 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.llm.common import WORD_BYTES, bounded_batches, item_words, octets, table
+from corpusloom.llm.common import WORD_BYTES, batches_of, bounded_batches, durable, free_names, item_words, octets, own_columns, quoted, table
 from corpusloom.llm.fmindex import FMIndex
 
 WINDOW = 10
-#: Words of benchmark items that are searched at once.
-BLOCK_WORDS = 2_000_000
+#: Bytes of benchmark items that are searched at once.
+BLOCK_BYTES = 12 << 20
 #: Bytes of text in a shard.
 SHARD_BYTES = 12 << 20
 #: Symbols of the index that are not benchmark words: the end of a document and any other word.
@@ -120,104 +123,162 @@ def _shards(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
             begin, room = k + 1, SHARD_BYTES
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A long item in pieces of about BLOCK_BYTES whose windows are, together, those of the item."""
+    if len(text) <= BLOCK_BYTES:
+        yield text
+        return
+    words = item_words(text)
+    step = max(WINDOW, BLOCK_BYTES * len(words) // len(text))
+    for at in range(0, max(1, len(words) - WINDOW + 1), step):
+        yield b" ".join(words[at : at + step + WINDOW - 1])
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
-    block, room = [], BLOCK_WORDS
+    """The items in blocks of about BLOCK_BYTES of text; the driver holds one block at a time."""
+    block, room = [], BLOCK_BYTES
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.col("text").cast("binary"))
     for item, text in rows.filter("text is not null").toLocalIterator():
-        block.append((item, bytes(text)))
-        room -= len(item_words(block[-1][1]))
-        if room <= 0:
-            yield block
-            block, room = [], BLOCK_WORDS
+        for piece in _pieces(bytes(text)):
+            block.append((item, piece))
+            room -= len(piece)
+            if room <= 0:
+                yield block
+                block, room = [], BLOCK_BYTES
     if block:
         yield block
 
 
-_FOUND = "_words bigint, _runs array<struct<a: int, b: int>>, _items array<string>"
-_FOUND_TYPE = pa.schema(
-    [("_words", pa.int64()), ("_runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))), ("_items", pa.list_(pa.string()))]
-)
+_RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+_RUNS_DDL = "array<struct<a: int, b: int>>"
+#: What one text holds: its words, the runs of words that windows cover, and the items that the windows are of.
+Found = tuple[int, list[tuple[int, int]], list[str]]
+
+
+def _in_shards(texts: list[bytes | None], phrases: Phrases | SimpleNamespace) -> Iterator[list[Found]]:
+    """What consecutive texts hold, shard by shard."""
+    for a, b in _shards(texts):
+        place = {t: k for k, t in enumerate(dict.fromkeys(t or b"" for t in texts[a:b]))}
+        sizes, masks, items = search_shard(list(place), phrases)
+        found = [(int(n), word_runs(m), [phrases.ids[i] for i in x]) for n, m, x in zip(sizes, masks, items, strict=True)]
+        yield [found[place[t or b""]] for t in texts[a:b]]
+
+
+def _with_found(rows: pa.RecordBatch, texts: list[bytes | None], found: list[Found], text: int | None, names: list[str]) -> pa.RecordBatch:
+    """``rows`` and, as ``names``, what their texts hold; the column ``text``, if given, loses the runs."""
+    columns = list(rows.columns)
+    if text is not None:
+        cut = [cut_words(t, runs) if t and runs else t for t, (_, runs, _) in zip(texts, found, strict=True)]
+        columns[text] = pa.array(cut, pa.binary()).cast(rows.schema.field(text).type)
+    words, runs, items = zip(*found, strict=True) if found else ((), (), ())
+    columns += [
+        pa.array(words, pa.int64()), pa.array([[{"a": a, "b": b} for a, b in x] for x in runs], _RUNS), pa.array(items, pa.list_(pa.string())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[*rows.schema.names, *names])
+
+
+def _merged(parts: list[dict] | None) -> tuple[list[tuple[int, int]], list[str]]:
+    """The runs of several blocks made one where they overlap or touch, and their items."""
+    runs: list[tuple[int, int]] = []
+    for a, b in sorted((r["a"], r["b"]) for p in parts or [] for r in p["runs"]):
+        if runs and a <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
+        else:
+            runs.append((a, b))
+    return runs, sorted({i for p in parts or [] for i in p["items"]})
 
 
-def _searched(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """``docs`` with _words, _runs (of hit words) and _items, for one block of items."""
-    at = docs.columns.index("text")
+def _of_block(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """(key, runs, items) of the texts of ``docs`` (key, text) that hold a window of one block of items."""
+    schema = pa.schema([("key", pa.string()), ("runs", _RUNS), ("items", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = SimpleNamespace(**shared.value)  # plain values: workers have no copy of this package
-        for batch in batches:
-            texts = octets(batch.column(at))
-            for a, b in _shards(texts):
-                place = {t: k for k, t in enumerate(dict.fromkeys(t or b"" for t in texts[a:b]))}
-                sizes, masks, items = search_shard(list(place), phrases)
-                runs = [[{"a": x, "b": y} for x, y in word_runs(m)] for m in masks]
-                names = [[phrases.ids[i] for i in x] for x in items]
-                which = [place[t or b""] for t in texts[a:b]]
-                found = [
-                    pa.array(sizes[which]),
-                    pa.array([runs[k] for k in which], _FOUND_TYPE.field(1).type),
-                    pa.array([names[k] for k in which], _FOUND_TYPE.field(2).type),
-                ]
-                rows = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*rows.columns, *found], names=[*rows.schema.names, *_FOUND_TYPE.names])
-
-    bounded_batches(docs.sparkSession)
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), _FOUND])
-    return docs.mapInArrow(run, ddl)
-
-
-def _joined(runs):
-    """Overlapping and touching runs made one."""
-    out = []
-    for a, b in sorted((r["a"], r["b"]) for r in runs or []):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+        for batch in batches_of(batches):
+            found = [x for shard in _in_shards(octets(batch.column(1)), phrases) for x in shard]
+            some = {key: x for key, x in zip(batch.column(0).to_pylist(), found, strict=True) if x[2]}
+            rows = [{"key": k, "runs": [{"a": a, "b": b} for a, b in runs], "items": items} for k, (_, runs, items) in some.items()]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
+    return docs.mapInArrow(run, f"key string, runs {_RUNS_DDL}, items array<string>")
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` (with a column text) with _words, _runs and _items: words, runs of hit words, ids of items found."""
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], cut: bool = False) -> tuple[DataFrame, list[str]]:
+    """The columns ``keep`` of ``docs`` (with a column text) with three more, and the names of these.
+
+    They hold the number of words, the runs of hit words and the ids of the items found. With ``cut``, the texts lose the
+    runs. A benchmark of one block is broadcast, and documents stay where they are. One of more blocks is searched block
+    by block: what each finds is written, by text, and its broadcast is given up before the next is made, so neither the
+    driver nor an executor holds more than one block.
+    """
     spark = docs.sparkSession
+    bounded_batches(spark)
+    names = free_names(keep, "_words", "_runs", "_items")
+    text, key, parts = free_names([*keep, *names], "_text", "_key", "_parts")
+    added = T.StructType.fromDDL(f"{names[0]} bigint, {names[1]} {_RUNS_DDL}, {names[2]} array<string>")
+    schema = T.StructType([*(docs.schema[c] for c in keep), *added.fields])
+    at = keep.index("text") if cut else None
+    held = docs.select(*(F.col(quoted(c)) for c in keep), F.col("text").alias(text))
     blocks = _blocks(benchmark)
-    first = next(blocks, [])
-    out = _searched(docs, spark.sparkContext.broadcast(vars(Phrases(first))))
-    for block in blocks:
-        again = out.select(
-            *(F.col(c) for c in docs.columns), F.col("_runs").alias("_runs0"), F.col("_items").alias("_items0")
-        )
-        out = _searched(again, spark.sparkContext.broadcast(vars(Phrases(block)))).select(
-            *docs.columns,
-            "_words",
-            F.udf(_joined, "array<struct<a: int, b: int>>")(F.concat("_runs0", "_runs")).alias("_runs"),
-            F.array_union("_items0", "_items").alias("_items"),
-        )
-    return out
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        shared = spark.sparkContext.broadcast(vars(Phrases(first)))
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = SimpleNamespace(**shared.value)
+            for batch in batches_of(batches):
+                texts, begin = octets(batch.column(len(keep))), 0
+                for found in _in_shards(texts, phrases):
+                    rows = batch.slice(begin, len(found)).select(range(len(keep)))
+                    yield _with_found(rows, texts[begin : begin + len(found)], found, at, names)
+                    begin += len(found)
 
-def remove_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the merged spans of benchmark windows in their texts; n_chars, if present, follows."""
+        return held.mapInArrow(run, schema), names
 
-    def cut(text: str, runs: list) -> str:
-        return cut_words(text.encode(), [(r["a"], r["b"]) for r in runs]).decode()
+    texts_only = docs.select(_text_key(F.col("text")).alias("key"), "text")
+    found_parts = []
+    for block in chain((first, second), blocks):
+        shared = spark.sparkContext.broadcast(vars(Phrases(block)))
+        found_parts.append(durable(_of_block(texts_only, shared)))
+        shared.destroy()
+    # A text of very many rows comes once from each batch, and the sets are made in part before the shuffle.
+    found = reduce(DataFrame.unionAll, found_parts).groupBy(F.col("key").alias(key)).agg(F.collect_set(F.struct("runs", "items")).alias(parts))
+    joined = held.join(durable(found), _text_key(F.col(text)) == F.col(key), "left").drop(key)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches):
+            texts = octets(batch.column(len(keep)))
+            merged = map(_merged, batch.column(len(keep) + 1).to_pylist())
+            found = [(len(item_words(t)), *m) for t, m in zip(texts, merged, strict=True)]
+            yield _with_found(batch.select(range(len(keep))), texts, found, at, names)
+
+    return joined.mapInArrow(apply, schema), names
+
+
+def _text_key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def remove_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the merged spans of benchmark windows in their texts; n_chars, if present, follows.
 
-    cut_text = F.when(F.size("_runs") > 0, F.udf(cut)("text", "_runs")).otherwise(F.col("text"))
-    out = find_benchmark(docs, benchmark).withColumn("text", cut_text)
+    A null text stays null. Exactly the columns of ``docs`` are returned, whatever their names.
+    """
+    out, (_, runs, _) = find_benchmark(docs, benchmark, docs.columns, cut=True)
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("_runs") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        changed = F.when(F.size(runs) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
         out = out.withColumn("n_chars", changed.otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*own_columns(docs))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A report for each row of ``docs`` (doc_id, text)."""
-    found = find_benchmark(docs.select("doc_id", "text"), benchmark)
-    n_hit = F.aggregate("_runs", F.lit(0).cast("bigint"), lambda s, r: s + r["b"] - r["a"])
-    items = F.sort_array(F.array_distinct("_items"))
+    found, (words, runs, names) = find_benchmark(docs, benchmark, ["doc_id"])
+    n_hit = F.aggregate(runs, F.lit(0).cast("bigint"), lambda s, r: s + r["b"] - r["a"])
+    items = F.sort_array(F.array_distinct(names))
     return found.select(
         "doc_id",
-        F.col("_words").alias("n_words"),
+        F.col(words).alias("n_words"),
         n_hit.alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),

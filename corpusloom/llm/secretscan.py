@@ -13,7 +13,8 @@ Positions are code points: the lengths of what stands between the matches and of
 
 Defined cases: a null text is the empty blob; a null path is a path; repeated rows each get their findings; an empty
 history appends nothing and gives no rows; matches that fail a rule's least length are dropped after they have matched,
-so they still hide what they overlap; other columns are kept as they are.
+so they still hide what they overlap; other columns are kept as they are, but blob and findings take the place of
+columns of these names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from corpusloom.llm.common import shared_folder, table
+from corpusloom.llm.common import durable, free_names, quoted, shared_folder, table
 
 
 def _either_case(word: str) -> str:
@@ -109,32 +110,40 @@ def scan(history: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text:
     """The columns of ``history`` with blob and findings (rule name, start, end) of the current rules.
 
     ``history`` has a row for each version of each path; unseen pairs of blob and rule version are scanned and appended to
-    the folder ``ledger``. A batch that is written twice, after a failure, is harmless.
+    the folder ``ledger``. A batch that is written twice, after a failure, is harmless. Of the ledger only the blobs of
+    ``history`` are put together; Spark's filter on their ids reaches its scan where they are few.
     """
     spark = history.sparkSession
     names = F.array(*(F.lit(r.name) for r in rules))
-    content = F.coalesce(F.col(text), F.lit(""))
-    addressed = history.withColumn("_blob", F.sha2(content, 256))
+    content = F.coalesce(F.col(quoted(text)), F.lit(""))
+    (own,) = free_names([*history.columns, "blob", "findings"], "_blob")
+    addressed = history.withColumn(own, F.sha2(content, 256))
+    ids = addressed.select(F.col(own).alias("id")).distinct()
     known = read_ledger(spark, ledger)
-    blobs = addressed.groupBy("_blob").agg(F.first(content).alias("_content"))
-    if known.isEmpty():
-        todo = blobs.withColumn("_todo", names)
+    first_scan = known.isEmpty()
+    blobs = addressed.groupBy(F.col(own).alias("id")).agg(F.first(content).alias("content"))
+    if first_scan:
+        todo = blobs.withColumn("todo", names)
     else:
-        seen = known.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("_seen"))
-        todo = blobs.join(seen, blobs["_blob"] == seen["blob"], "left").withColumn(
-            "_todo", F.array_except(names, F.coalesce("_seen", F.array().cast("array<string>")))
-        )
-        todo = todo.filter(F.size("_todo") > 0)
-    each = [
-        F.when(F.array_contains("_todo", r.name), rule_spans(F.col("_content"), r)).otherwise(F.array().cast(_SPANS)) for r in rules
-    ]
+        here = known.select("blob", "seen").join(ids, F.col("blob") == F.col("id"), "left_semi")
+        seen = here.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"))
+        unseen = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
+        todo = blobs.join(seen, F.col("id") == F.col("blob"), "left").withColumn("todo", unseen).filter(F.size("todo") > 0)
+    each = [F.when(F.array_contains("todo", r.name), rule_spans(F.col("content"), r)).otherwise(F.array().cast(_SPANS)) for r in rules]
     findings = F.concat(*(F.transform(s, _named(r.name)) for r, s in zip(rules, each, strict=True)))
-    batch = todo.select(F.col("_blob").alias("blob"), F.col("_todo").alias("seen"), findings.alias("findings"))
+    batch = todo.select(F.col("id").alias("blob"), F.col("todo").alias("seen"), findings.alias("findings"))
     batch.write.parquet(f"{ledger}/batch={uuid.uuid4().hex}")
-    current = read_ledger(spark, ledger).withColumn("findings", F.filter("findings", lambda x: F.array_contains(names, x["rule"])))
+    current = read_ledger(spark, ledger)
+    if not first_scan:  # of a ledger that has grown long, only the blobs at hand are put together
+        current = current.join(ids, F.col("blob") == F.col("id"), "left_semi")
+    current = current.withColumn("findings", F.filter("findings", lambda x: F.array_contains(names, x["rule"])))
     # A pair that two batches hold, after a repeated run, counts once.
     current = current.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
-    return addressed.join(current, addressed["_blob"] == current["blob"], "left").drop("_blob")
+    # Written, so that both sides of the join are plain shuffles, of which Spark splits a blob of very many paths.
+    current = durable(current)
+    kept = [F.col(quoted(c)) for c in history.columns if c.lower() not in ("blob", "findings")]
+    paths = addressed.select(*kept, F.col(own))
+    return paths.join(current, paths[own] == current["blob"], "left").drop(own)
 
 
 def _digest(rules: tuple[Rule, ...]) -> Column:

@@ -9,7 +9,8 @@ distributed connected components.
 
 Defined cases: a null text has no words; no words give fingerprint zero, which is linked like any other; a text of
 fewer words than a shingle is one shingle; texts of any length are hashed whole; repeated rows keep their number; a
-null doc_id never becomes a component_id unless its whole component has none; other columns are ignored.
+null doc_id never becomes a component_id unless its whole component has none; other columns are ignored, and kept as they
+are, whatever their names, by ``drop_near_copies``. Texts are told apart by hashes of 64 bits there.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import batches_of, bounded_batches, durable, octets, table
+from corpusloom.llm.common import batches_of, bounded_batches, durable, free_names, octets, own_columns, table
 from corpusloom.llm.components import components, local_roots
 
 SEED = 42
@@ -97,8 +98,9 @@ def fingerprint_texts(texts: list[bytes | None], width: int, lanes: int) -> np.n
     return out
 
 
-def _text_hash(text: str | None) -> int:
-    return _signed(xxhash.xxh64_intdigest((text or "").encode(), 1))
+def text_hash(text: Column) -> Column:
+    """XXH64 (seed 42) of a text, which Spark and ``fingerprints`` give alike; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def fingerprints(docs: DataFrame, width: int = 5, lanes: int = 1) -> DataFrame:
@@ -110,7 +112,7 @@ def fingerprints(docs: DataFrame, width: int = 5, lanes: int = 1) -> DataFrame:
         for batch in batches_of(batches):
             texts = octets(batch.column(1))
             made = fingerprint_texts(texts, width, lanes).view(np.int64)
-            same = np.fromiter((xxhash.xxh64_intdigest(x or b"", 1) for x in texts), dtype=np.uint64).view(np.int64)
+            same = np.fromiter((xxhash.xxh64_intdigest(x or b"", SEED) for x in texts), dtype=np.uint64).view(np.int64)
             columns = [batch.column(0), pa.array(same), *(pa.array(made[:, i]) for i in range(lanes))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -310,7 +312,8 @@ def near_groups(prints: DataFrame, lanes: int, radius: int, masks: list[list[int
     stars = near_links(distinct.select("id", *fps), lanes, radius, masks, finer)
     roots = components(stars).withColumnRenamed("node", "id")
     rooted = durable(distinct.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    # Written, so that the join's sides are plain shuffles, which Spark splits where a component holds very many rows.
+    least = durable(rooted.groupBy("root").agg(F.min("first").alias("least")))
     return rooted.join(least, "root").select(
         *fps, F.col("least.doc_id").alias("component_id"), F.col("least.text_hash").alias("keep_hash")
     )
@@ -382,19 +385,18 @@ def _links_of_groups(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def similar_links(docs: DataFrame, members: DataFrame, width: int, repeated: bool) -> DataFrame:
+def similar_links(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """Stars (a, b) of the text hashes of ``members`` (root, doc_id, text_hash) of one root that are alike by their texts.
 
-    A large group is compared in pairs of its parts: a task holds two parts, and no pair is left out. Where ids are
-    ``repeated`` in ``docs``, their rows are told apart by the hashes.
+    A large group is compared in pairs of its parts: a task holds two parts, and no pair is left out.
     """
     named = members.select("root", F.col("doc_id").alias("_id"), "text_hash")
-    joined = docs.select("doc_id", "text").join(named, F.col("doc_id").eqNullSafe(F.col("_id")))
-    if repeated:
-        joined = joined.filter(F.udf(_text_hash, "bigint")("text") == F.col("text_hash")).dropDuplicates(["root", "text_hash"])
-    joined = durable(joined.select("root", "text_hash", "text"))
+    texts = docs.select("doc_id", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash(F.col("text")) == F.col("text_hash"))
+    joined = texts.join(named, same).select("root", "text_hash", "text")
+    joined = durable(joined.dropDuplicates(["root", "text_hash"]) if _repeated(texts) else joined)
     size = F.greatest(F.count("*") / GROUP_ROWS, F.sum(F.coalesce(F.octet_length("text"), F.lit(0))) / GROUP_BYTES)
-    large = joined.groupBy("root").agg(size.alias("size")).filter("size > 1")
+    large = durable(joined.groupBy("root").agg(size.alias("size")).filter("size > 1"))
     parts = F.ceil(F.col("size") * 2).cast("bigint")
     subs = F.when(F.col("size").isNotNull(), _pairs_of(F.col("text_hash"), parts)).otherwise(F.array(F.lit(0).cast("bigint")))
     dealt = joined.join(large, "root", "left").select("root", F.explode(subs).alias("sub"), "text_hash", "text")
@@ -403,36 +405,79 @@ def similar_links(docs: DataFrame, members: DataFrame, width: int, repeated: boo
     return dealt.mapInArrow(_links_of_groups(width), "a bigint, b bigint")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 64, bits: int = 12, tables: int = 48) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, that of the smallest doc_id; all its columns are kept.
+def _repeated(rows: DataFrame) -> bool:
+    """Whether some doc_id stands in more than one row."""
+    return not rows.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
+def shingle_links(texts: DataFrame, width: int, share: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Stars (a, b) of the hashes of ``texts`` (text_hash, text) that link all whose shingle sets have a similarity of ``share``.
+
+    Others may be linked, too: it is a search, but an exact one. Shingles are ordered by the number of texts that hold
+    them, rarest first; two texts as alike as that share one of the first size - ceil(size * share) + 1 of each (the
+    prefix). Most of these are held by one text only and link nothing.
+    """
+    part, whole = share
+    schema = pa.schema([("text_hash", pa.int64()), ("token", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches):
+            for own, text in zip(batch.column(0).to_pylist(), octets(batch.column(1)), strict=True):
+                # A text without words has one token of its own, as two empty sets are alike.
+                tokens = np.unique(shingle_hashes(text, width)) if text and text.split() else np.zeros(1, dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), own)), pa.array(tokens.view(np.int64))], schema=schema)
+
+    bounded_batches(texts.sparkSession)
+    held = durable(texts.select("text_hash", "text").mapInArrow(run, "text_hash bigint, token bigint"))
+    counts = durable(held.groupBy("token").agg(F.count("*").alias("n")))
+    ordered = F.array_sort(F.collect_list(F.struct("n", "token")))
+    sets = held.join(counts, "token").groupBy("text_hash").agg(ordered.alias("tokens"))
+    first = F.slice("tokens", F.lit(1), (F.size("tokens") - F.ceil(F.size("tokens") * part / whole) + 1).cast("int"))
+    prefix = sets.select("text_hash", F.explode(first).alias("t")).filter("t.n > 1")
+    prefix = durable(prefix.select("text_hash", F.col("t.token").alias("token")))
+    least = durable(prefix.groupBy("token").agg(F.min("text_hash").alias("b")))
+    return prefix.join(least, "token").select(F.col("text_hash").alias("a"), "b").filter("a <> b")
+
+
+def drop_near_copies(
+    docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 64, bits: int = 12, tables: int = 48, exact: bool = False
+) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, that of the smallest doc_id; its columns, and no others, are kept.
 
     Texts are linked if their shingle sets have a similarity of SIMILAR or more. Fingerprints only find what is compared:
     two texts with a similarity of 0.8 differ in 39 of 256 bits on average, with a deviation of 5.7, so the radius is
     four deviations above. Shards share ``bits`` sampled bits. All texts of a group of fingerprints are compared by
     their sets, and what is alike makes the components. Repeated rows are copies of each other: one stays.
+
+    With ``exact``, ``shingle_links`` finds what is compared in place of the fingerprints: no link is missed, at the price
+    of two shuffles of all shingles.
     """
     prints = durable(fingerprints(docs, width, lanes))
     fps = [f"fp{i}" for i in range(lanes)]
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *fps)).alias("first")
     texts = prints.groupBy("text_hash").agg(first).select("text_hash", "first.doc_id", *(f"first.{f}" for f in fps))
-    # An id of 64 bits for a longer fingerprint; where two share it, their texts are compared in one group.
-    texts = durable(texts.withColumn("id", F.xxhash64(*fps)))
-    stars = near_links(durable(texts.select("id", *fps).distinct()), lanes, radius, sampled_bits(lanes, bits, tables), None)
+    if exact:
+        texts = durable(texts.withColumn("id", F.col("text_hash")))
+        stars = shingle_links(docs.select(text_hash(F.col("text")).alias("text_hash"), "text").dropDuplicates(["text_hash"]), width)
+    else:
+        # An id of 64 bits for a longer fingerprint; where two share it, their texts are compared in one group.
+        texts = durable(texts.withColumn("id", F.xxhash64(*fps)))
+        stars = near_links(durable(texts.select("id", *fps).distinct()), lanes, radius, sampled_bits(lanes, bits, tables), None)
     roots = components(stars).withColumnRenamed("node", "id")
     rooted = durable(texts.join(roots, "id", "left").select("text_hash", "doc_id", F.coalesce("root", "id").alias("root")))
-    several = rooted.groupBy("root").count().filter("count > 1").select("root")
+    several = durable(rooted.groupBy("root").count().filter("count > 1").select("root"))
     members = durable(rooted.join(several, "root", "left_semi"))
-    repeated = not prints.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    alike = components(similar_links(docs, members, width, repeated)).select(F.col("node").alias("text_hash"), F.col("root").alias("like"))
+    alike = components(similar_links(docs, members, width)).select(F.col("node").alias("text_hash"), F.col("root").alias("like"))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least")
     kept = rooted.join(alike, "text_hash", "left").groupBy(F.coalesce("like", "text_hash")).agg(least)
-    kept = durable(kept.select(F.col("least.doc_id").alias("_kept_id"), F.col("least.text_hash").alias("_kept_hash")))
-    same_id = F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    if not repeated:
-        return docs.join(kept, same_id, "left_semi")
-    marked = docs.withColumn("_text_hash", F.udf(_text_hash, "bigint")("text"))
-    same = same_id & (F.col("_text_hash") == F.col("_kept_hash"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    own_hash, kept_id, kept_hash = free_names(docs.columns, "_text_hash", "_kept_id", "_kept_hash")
+    kept = durable(kept.select(F.col("least.doc_id").alias(kept_id), F.col("least.text_hash").alias(kept_hash)))
+    same_id = F.col("doc_id").eqNullSafe(F.col(kept_id))
+    if not _repeated(prints):
+        return docs.join(kept, same_id, "left_semi").select(*own_columns(docs))
+    marked = docs.withColumn(own_hash, text_hash(F.col("text")))
+    same = same_id & (F.col(own_hash) == F.col(kept_hash))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own_hash]).select(*own_columns(docs))
 
 
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
