@@ -12,7 +12,8 @@ either way the pages of a hot host stay in many tasks.
 
 Defined cases: a null page is empty and has no text; a null or unreadable url belongs to the host ''; markup that never
 ends is read to the end; a page without any of its host's paths, or without text there, is extracted by its own vote;
-repeated rows each get their result; an empty table gives no rows; other columns are ignored.
+repeated rows each get their result; an empty table gives no rows; other columns are ignored; markup of any depth takes
+time and memory in proportion to its length.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import bounded_batches, durable, octets, table
@@ -32,8 +33,8 @@ from corpusloom.llm.common import bounded_batches, durable, octets, table
 MOST = 0.85
 #: Paths with less than this share of a host's votes aren't tried.
 SHARE = 0.1
-#: Hosts up to which their paths are sent to all tasks; a host has at most 1 / SHARE paths.
-SENT_HOSTS = 50_000
+#: Bytes of hosts and their paths up to which they are sent to all tasks; a host has at most 1 / SHARE paths.
+SENT_BYTES = 8 << 20
 SALTS = 32
 
 _EVENT = re.compile(
@@ -76,9 +77,12 @@ _CLOSES = {
 }
 
 
-@dataclass
+@dataclass(slots=True)
 class Container:
-    path: str
+    """path: the number of its path in the page; label: the tag with its classes."""
+
+    path: int
+    label: str
     parent: int
     worth: float
     main: bool = False
@@ -88,16 +92,80 @@ class Container:
 
 @dataclass
 class Page:
-    """Containers, parents first, blocks: (container, text), and the level and container of the first heading of the highest level."""
+    """Containers, parents first, blocks: (container, text), and the level and container of the first heading of the highest level.
 
-    containers: list[Container] = field(default_factory=lambda: [Container("", -1, 1.0)])
+    Paths are numbered, and kept as (number of the parent's path, label), so that deep markup doesn't repeat them.
+    """
+
+    containers: list[Container] = field(default_factory=lambda: [Container(0, "", -1, 1.0)])
     blocks: list[tuple[int, str]] = field(default_factory=list)
     heading: tuple[str, int] | None = None
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+
+    def add(self, parent: int, label: str, worth: float, main: bool) -> int:
+        path = self.paths.setdefault((self.containers[parent].path, label), len(self.paths) + 1)
+        self.containers.append(Container(path, label, parent, worth, main))
+        return len(self.containers) - 1
+
+    def path(self, at: int) -> str:
+        """The path of a container as text."""
+        labels = []
+        while at:
+            labels.append(f"/{self.containers[at].label}")
+            at = self.containers[at].parent
+        return "".join(reversed(labels))
+
+    def number(self, path: str) -> int:
+        """The number of a path given as text; -1 if the page has none such."""
+        number = 0
+        for label in path.split("/")[1:]:
+            number = self.paths.get((number, label), -1)
+        return number
+
+
+class Stack:
+    """The open elements: tag, container, whether in what is dropped, in a link, in an article; and where each tag is open."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.containers: list[int] = []
+
+    def push(self, tag: str, *rest) -> None:
+        place = len(self.open)
+        self.open.append((tag, *rest))
+        self.places.setdefault(tag, []).append(place)
+        if tag in _BLOCK:
+            self.blocks.append(place)
+        if tag in _CONTAINER:
+            self.containers.append(place)
+
+    def cut(self, place: int) -> None:
+        """Closes all from ``place`` on."""
+        while len(self.open) > place:
+            tag = self.open.pop()[0]
+            self.places[tag].pop()
+            if tag in _BLOCK:
+                self.blocks.pop()
+            if tag in _CONTAINER:
+                self.containers.pop()
+
+    def last(self, tags: tuple[str, ...]) -> int:
+        """The place of the innermost of ``tags``; 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def holds_block(self, place: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] >= place
+
+    def block(self) -> str:
+        """The innermost block's tag."""
+        return self.open[self.blocks[-1]][0] if self.blocks else ""
 
 
 def _label(tag: str, names: str) -> str:
-    """The tag with its classes, their digits generalised."""
-    kinds = sorted({re.sub(r"\d+", "#", x) for x in names.split()})
+    """The tag with its classes, their digits generalised; a slash only parts labels."""
+    kinds = sorted({re.sub(r"\d+", "#", x).replace("/", "|") for x in names.split()})
     return ".".join([tag, *kinds])
 
 
@@ -119,8 +187,7 @@ def parse(source: str) -> Page:
     """Containers and blocks of text of a page, without what is never main text."""
     page = Page()
     containers, blocks = page.containers, page.blocks
-    # Of each open element: tag, its container, whether it is in what is dropped, whether it is in a link or an article.
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    stack = Stack()
     pieces: list[str] = []
     linked = 0
 
@@ -131,28 +198,27 @@ def parse(source: str) -> Page:
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             pieces.clear()
             if text:
-                at = stack[-1][1]
+                at = stack.open[-1][1]
                 blocks.append((at, text))
                 containers[at].mass += max(0, len(text) - linked)
-                level = next((x[0] for x in reversed(stack) if x[0] in _BLOCK), "")
+                level = stack.block()
                 if level in _HEADINGS and len(text) > linked:
                     containers[at].headed = True
                     if page.heading is None or level < page.heading[0]:
                         page.heading = level, at
         linked = 0
 
-    def pop_to(place: int) -> None:
-        if any(x[0] in _BLOCK for x in stack[place:]):
+    def cut(place: int) -> None:
+        if stack.holds_block(place):
             flush()
-        del stack[place:]
+        stack.cut(place)
 
     def close(tags: tuple[str, ...], walls: tuple[str, ...]) -> None:
-        for place in range(len(stack) - 1, 0, -1):
-            if stack[place][0] in tags:
-                pop_to(place)
-                return
-            if stack[place][0] in walls or (stack[place][0] in _CONTAINER and "table" not in walls):
-                return
+        place, wall = stack.last(tags), stack.last(walls)
+        if "table" not in walls and stack.containers:
+            wall = max(wall, stack.containers[-1])
+        if place and place >= wall:
+            cut(place)
 
     at, n = 0, len(source)
     while at < n:
@@ -167,25 +233,22 @@ def parse(source: str) -> Page:
             tag = m["tag"] or m["tag2"]
             text = m["cdata"] or (m[0] if m[0] == "<" else "")
         if tag is None:
-            if text and not stack[-1][2]:
+            if text and not stack.open[-1][2]:
                 pieces.append(text)
-                if stack[-1][3]:
+                if stack.open[-1][3]:
                     linked += len(text)
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place][0] == tag:
-                    pop_to(place)
-                    break
-                if stack[place][0] in _CONTAINER and tag not in _BLOCK:
-                    break  # an inline end doesn't reach out of its container
-            else:
-                if tag == "p":
-                    flush()
+            place = stack.last((tag,))
+            # An inline end doesn't reach out of its container.
+            if place and (tag in _BLOCK or not stack.containers or place > stack.containers[-1]):
+                cut(place)
+            elif tag == "p" and not place:
+                flush()
             continue
         if tag == "br":
-            if not stack[-1][2]:
+            if not stack.open[-1][2]:
                 pieces.append("\n")
             continue
         rest = m["rest"] if m["tag"] else m["rest2"]
@@ -199,16 +262,14 @@ def parse(source: str) -> Page:
                 close(*_CLOSES[tag])
         if tag in _VOID:
             continue
-        _, own, drop, link, inside = stack[-1]
+        _, own, drop, link, inside = stack.open[-1]
         drop = drop or _dropped(tag, attributes, inside)
         if tag in _CONTAINER and not drop:
             names = attributes.get("class", "")
-            path = f"{containers[own].path}/{_label(tag, names)}"
             main = tag in ("article", "main") or attributes.get("role") == "main"
             some = re.search(r"(?:^|[\s_-])(?:content|article|post|entry|story|main|body|text)(?:$|[\s_-])", names)
-            containers.append(Container(path, own, 1.5 if main else 1.2 if some else 1.0, main))
-            own = len(containers) - 1
-        stack.append((tag, own, drop, link or tag == "a", inside or tag in ("article", "main")))
+            own = page.add(own, _label(tag, names), 1.5 if main else 1.2 if some else 1.0, main)
+        stack.push(tag, own, drop, link or tag == "a", inside or tag in ("article", "main"))
         if tag in _RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             if not drop and tag == "xmp":
@@ -239,20 +300,21 @@ def vote(page: Page) -> str:
         best = max(children[at], key=lambda k: (mass[k] * page.containers[k].worth, -k))
         if mass[best] * page.containers[best].worth < MOST * mass[at] or not mass[best]:
             break
-        if inside and (not main[best] or mass[best] < mass[at] or page.containers[at].path.rpartition("/")[2].split(".")[0] == "article"):
+        if inside and (not main[best] or mass[best] < mass[at] or page.containers[at].label.split(".")[0] == "article"):
             break
         # A heading outside is that of the site only where an article or main below has its own.
         if at in title and best not in title and not (main[best] and headed[best]):
             break
         at = best
-    return page.containers[at].path
+    return page.path(at)
 
 
 def text_of(page: Page, path: str) -> str:
     """The blocks in containers with ``path``, in page order."""
-    chosen = []
+    number = page.number(path)
+    chosen: list[bool] = []
     for c in page.containers:
-        chosen.append(c.path == path or (c.parent >= 0 and chosen[c.parent]))
+        chosen.append(c.path == number or (c.parent >= 0 and chosen[c.parent]))
     return "\n".join(text for at, text in page.blocks if chosen[at])
 
 
@@ -279,9 +341,10 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
     bounded_batches(pages.sparkSession)
     votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string")
-    counts = votes.filter("path IS NOT NULL").groupBy("host", "path").count()
-    share = F.col("count") / F.sum("count").over(Window.partitionBy("host"))
-    best = counts.withColumn("share", share).filter(F.col("share") >= SHARE)
+    counts = durable(votes.filter("path IS NOT NULL").groupBy("host", "path").count())
+    # Totals are joined, so that the paths of a host with very many don't meet in one task.
+    totals = durable(counts.groupBy("host").agg(F.sum("count").alias("total")))
+    best = counts.join(totals, "host").filter(F.col("count") / F.col("total") >= SHARE)
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "path")))
     return best.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"))
 
@@ -303,7 +366,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     pages = pages.select(F.col("page_id").cast("bigint"), "url", "html")
     winners = durable(host_paths(pages))
     keyed = pages.withColumn("host", host(F.col("url")))
-    if winners.count() <= SENT_HOSTS:
+    size = winners.agg(F.sum(F.octet_length(F.array_join("paths", "")) + F.octet_length("host") + 64)).first()[0] or 0
+    if size <= SENT_BYTES:
         joined = keyed.join(F.broadcast(winners), "host", "left")
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
