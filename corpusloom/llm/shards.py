@@ -1,11 +1,15 @@
 """Sharding by size-tiered compaction, with an atomically committed, versioned manifest.
 
 A store is a folder with immutable data files and manifests. ``append`` writes an arrival as small shards, one a task.
-``compact`` merges shards of one size tier, each tier FAN times the one below, once FAN of them have gathered, into files of
-about TARGET_BYTES; what it writes may fill the next tier, so it goes on until none is full. Both then commit a manifest: the
+``compact`` merges shards of one size tier, the largest at most FAN times the smallest, once FAN of them have gathered, into
+files of about TARGET_BYTES; what it writes may fill the next tier, so it goes on until none is full. Both then commit a manifest: the
 list of live shards under the next version number, put in place by a rename that fails if that version exists. Readers
 see the shards of one manifest; what a failed job has written is in none, and ``vacuum`` removes it. Only file names and
-sizes pass through the driver, as in any listing; rows are merged by tasks that read whole shards, without a shuffle.
+sizes pass through the driver, as in any listing; rows are merged by tasks that read whole shards, without a shuffle, and the
+tiers of a round are merged at the same time.
+
+The rename is atomic on HDFS. The local file system and object stores look for the target first and rename then, so there
+two writers that commit at the same moment may both succeed: let one writer at a time commit, or lock by other means.
 
 Defined cases: an empty arrival commits an empty shard, which keeps the schema; repeated rows and nulls are kept as they are;
 a text of any length is in one shard; columns may have any names, as locations are added as _shard, _shard_bytes and
@@ -15,19 +19,24 @@ _version, in place of columns of these names.
 from __future__ import annotations
 
 import json
-import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import shared_folder, table
+from corpusloom.llm.common import free_names, shared_folder, table
 
-#: Bytes of a compacted file, about. Smaller tiers have a FAN-th of it each.
+#: Bytes of a compacted file, about; shards that make a tier, and times that sizes may differ in it.
 TARGET_BYTES = 128 << 20
 FAN = 4
+#: Tiers that are merged at the same time.
+MERGES = 4
+#: Arrivals that ``op9_shards_size_tiered`` appends the table in.
+ARRIVALS = 4
 
 
 @dataclass(frozen=True)
@@ -99,13 +108,31 @@ class ShardStore:
         return version + 1
 
     def _written(self, rows: DataFrame) -> list[Shard]:
+        """The shards that ``rows`` are written to."""
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(folder)
         return self._files(folder)
 
     def append(self, rows: DataFrame) -> int:
         """Adds the rows as small shards; the new version."""
-        arrived = self._written(rows)
+        return self._arrived(self._written(rows))
+
+    def append_each(self, rows: DataFrame, arrival: Column) -> int:
+        """Adds the rows of each value of ``arrival`` (a small number of them) as an arrival of its own; the last version.
+
+        All are written in one pass; each is then committed. Rows without a value are an arrival, too.
+        """
+        (name,) = free_names(rows.columns, "_arrival")
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        rows.withColumn(name, arrival).write.option("compression", "zstd").partitionBy(name).parquet(folder)
+        arrivals: dict[str, list[Shard]] = {}
+        for shard in self._files(folder):
+            arrivals.setdefault(shard.path.rpartition("/")[0], []).append(shard)
+        if not arrivals:  # a table without rows leaves no file, and its schema is to be kept
+            return self.append(rows)
+        return [self._arrived(arrived) for _, arrived in sorted(arrivals.items())][-1]
+
+    def _arrived(self, arrived: list[Shard]) -> int:
         while True:
             version, shards = self.manifest()
             try:
@@ -113,20 +140,22 @@ class ShardStore:
             except ManifestConflict:
                 continue  # appends never clash with what others commit
 
-    def tier(self, shard: Shard) -> int:
-        """0 for shards of over half the target, which stay; each further tier is FAN times smaller."""
-        return max(0, 1 + math.floor(math.log(self.target / 2 / max(shard.bytes, 1), FAN)))
-
     def plan(self, shards: list[Shard]) -> list[list[Shard]]:
-        """The runs to merge: every tier with FAN shards or more."""
-        tiers: dict[int, list[Shard]] = {}
-        for s in shards:
-            tiers.setdefault(self.tier(s), []).append(s)
-        return [run for tier, run in sorted(tiers.items()) if tier and len(run) >= FAN]
+        """The runs to merge: FAN shards or more of similar size. Those of over half the target stay."""
+        runs: list[list[Shard]] = []
+        for s in sorted((s for s in shards if s.bytes <= self.target / 2), key=lambda s: (s.bytes, s.path)):
+            if not runs or s.bytes > FAN * max(1, runs[-1][0].bytes):
+                runs.append([])
+            runs[-1].append(s)
+        return [run for run in runs if len(run) >= FAN]
 
     def merge(self, run: list[Shard]) -> list[Shard]:
         parts = max(1, round(sum(s.bytes for s in run) / self.target))
-        return self._written(self.spark.read.parquet(*(s.path for s in run)).coalesce(parts))
+        return self._written(self._rows(run).coalesce(parts))
+
+    def _rows(self, shards: list[Shard]) -> DataFrame:
+        # Names of folders aren't columns.
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(*(s.path for s in shards))
 
     def compact(self) -> int:
         """Merges full tiers until none is left; the last version."""
@@ -136,7 +165,8 @@ class ShardStore:
             if not runs:
                 return version
             gone = {s.path for run in runs for s in run}
-            merged = [s for run in runs for s in self.merge(run)]
+            with ThreadPoolExecutor(MERGES) as pool:
+                merged = [s for made in pool.map(inheritable_thread_target(self.spark)(self.merge), runs) for s in made]
             kept = [s for s in shards if s.path not in gone]
             if len(kept) + len(merged) >= len(shards):
                 return version  # nothing would be gained
@@ -157,22 +187,27 @@ class ShardStore:
         version, shards = self.manifest(version)
         if not shards:
             raise ValueError("the store is empty")
-        rows = self.spark.read.parquet(*(s.path for s in shards))
-        where = {"_shard": F.col("_metadata.file_name"), "_shard_bytes": F.col("_metadata.file_size"), "_version": F.lit(version)}
+        rows = self._rows(shards)
+        where = {"_shard": F.regexp_extract("_metadata.file_path", "/data/(.*)$", 1), "_shard_bytes": F.col("_metadata.file_size"), "_version": F.lit(version)}
         return rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in where), *(v.alias(k) for k, v in where.items()))
 
 
-def compacted(rows: DataFrame, root: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """``rows`` appended to the store at ``root``, compacted, and read back with their shards."""
+def compacted(rows: DataFrame, root: str, target_bytes: int = TARGET_BYTES, arrival: Column | None = None) -> DataFrame:
+    """``rows`` appended to the store at ``root``, in arrivals if told by what, compacted, and read back with their shards."""
     store = ShardStore(rows.sparkSession, root, target_bytes)
-    store.append(rows)
+    if arrival is None:
+        store.append(rows)
+    else:
+        store.append_each(rows, arrival)
     version = store.compact()
     store.vacuum()
     return store.read(version)
 
 
 def op9_shards_size_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = compacted(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    arrival = F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))  # every row comes with one of them
+    rows = compacted(docs, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", arrival=arrival)
     return rows.select(
         "doc_id",
         F.col("_shard").alias("shard"),
