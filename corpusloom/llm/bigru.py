@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import batches_of, bounded_batches, free_names, octets, own_columns, table
+from corpusloom.llm.common import batches_of, bounded_batches, free_names, map_batches, octets, own_columns, table
 
 #: Documents of each language, and languages, that are learned from.
 SAMPLE, LANGUAGES = 500, 64
@@ -268,7 +268,7 @@ def identify(docs: DataFrame, learned: tuple[list[str], Model] | None, pred: str
     schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     (lettered,) = free_names(docs.columns, "_lettered")
     marked = docs.withColumn(lettered, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return marked.mapInArrow(run, schema)
+    return map_batches(marked, run, schema)
 
 
 def keep_identified(docs: DataFrame, least: float = KEPT_SCORE) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Arrow batches handed to Python stay under this many bytes, whatever the length of single texts.
 BATCH_BYTES = 16 << 20
@@ -68,6 +69,19 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(quoted(c)) for c in df.columns]
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` for columns of any names, with dots or like others: ``run`` and Spark see numbered ones."""
+    names = [f"c{i}" for i in range(len(schema))]
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    made = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema, strict=True)])
+    return plain.mapInArrow(numbered, made).toDF(*schema.names)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

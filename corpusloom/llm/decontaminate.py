@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import WORD_BYTES, batches_of, bounded_batches, durable, free_names, item_words, octets, own_columns, quoted, table
+from corpusloom.llm.common import WORD_BYTES, batches_of, bounded_batches, durable, free_names, item_words, map_batches, octets, own_columns, quoted, table
 from corpusloom.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -233,7 +233,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], cut:
                     yield _with_found(rows, texts[begin : begin + len(found)], found, at, names)
                     begin += len(found)
 
-        return held.mapInArrow(run, schema), names
+        return map_batches(held, run, schema), names
 
     texts_only = docs.select(_text_key(F.col("text")).alias("key"), "text")
     found_parts = []
@@ -252,7 +252,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: list[str], cut:
             found = [(len(item_words(t)), *m) for t, m in zip(texts, merged, strict=True)]
             yield _with_found(batch.select(range(len(keep))), texts, found, at, names)
 
-    return joined.mapInArrow(apply, schema), names
+    return map_batches(joined, apply, schema), names
 
 
 def _text_key(text: Column) -> Column:

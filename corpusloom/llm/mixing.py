@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import batches_of, bounded_batches, durable, free_names, octets, own_columns, quoted, table
+from corpusloom.llm.common import batches_of, bounded_batches, durable, free_names, map_batches, octets, own_columns, quoted, table
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -125,7 +125,7 @@ def apportion(rows: DataFrame, key: list[str], name: str) -> DataFrame:
 
 def _rank(block: Column) -> Column:
     """The place of a block of its shard in the seeded order."""
-    return F.pmod(block * PRIME + F.col("start"), F.col("blocks"))
+    return F.pmod(block * PRIME + F.col("start"), F.greatest(F.col("blocks"), F.lit(1)))
 
 
 def mix(sizes: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def mix(sizes: DataFrame) -> DataFrame:
         "start": seeded(F.lit("start"), F.col("source"), F.col("shard")),
     })
     # The last block of a shard may be short: what is left is counted in the seeded order, where it stands somewhere.
-    quotas = quotas.withColumn("short", F.coalesce(_rank(F.col("blocks") - 1), F.lit(0)) * BLOCK).withColumn("length", F.col("words") - (F.col("blocks") - 1) * BLOCK)
+    quotas = quotas.withColumn("short", _rank(F.greatest(F.col("blocks") - 1, F.lit(0))) * BLOCK).withColumn("length", F.col("words") - (F.col("blocks") - 1) * BLOCK)
     before, within = F.col("left") <= F.col("short"), F.col("left") < F.col("short") + F.col("length")
     full = F.when(before, F.col("left")).otherwise(F.col("left") + BLOCK - F.col("length"))
     inside = ~before & within
@@ -258,7 +258,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField(whole, T.BooleanType())])
-    rows = joined.select(*own_columns(docs), F.col(passes), F.col(picked)).mapInArrow(run, schema)
+    rows = map_batches(joined.select(*own_columns(docs), F.col(passes), F.col(picked)), run, schema)
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(F.col(whole), F.col("n_chars")).otherwise(changed))
@@ -311,7 +311,7 @@ h4 AS (
   FROM h3),
 h5 AS (
   SELECT *, CASE WHEN passes < 3 THEN asked - passes * words ELSE 0 END AS remains, words - (blocks - 1) * 64 AS length,
-    coalesce(((blocks - 1) * 2147483647 + start) % blocks, 0) * 64 AS short
+    ((greatest(blocks - 1, 0) * 2147483647 + start) % greatest(blocks, 1)) * 64 AS short
   FROM h4),
 h6 AS (
   SELECT *, CASE WHEN remains <= short THEN remains // 64 WHEN remains < short + length THEN short // 64 ELSE (remains + 64 - length) // 64 END AS more,

@@ -12,14 +12,15 @@ The rename is atomic on HDFS. The local file system and object stores look for t
 two writers that commit at the same moment may both succeed: let one writer at a time commit, or lock by other means.
 
 Defined cases: an empty arrival commits an empty shard, which keeps the schema; repeated rows and nulls are kept as they are;
-a text of any length is in one shard; columns may have any names, as locations are added as _shard, _shard_bytes and
-_version, in place of columns of these names.
+a text of any length is in one shard; columns may have any names, as the caller chooses those of the locations apart from
+them (by default _shard, _shard_bytes and _version, which then take the place of columns of these names).
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
@@ -28,11 +29,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import free_names, shared_folder, table
+from corpusloom.llm.common import free_names, quoted, shared_folder, table
 
 #: Bytes of a compacted file, about; shards that make a tier, and times that sizes may differ in it.
 TARGET_BYTES = 128 << 20
 FAN = 4
+#: Names of the columns that tell a row's shard, its bytes and the version.
+LOCATION = ("_shard", "_shard_bytes", "_version")
 #: Tiers that are merged at the same time.
 MERGES = 4
 #: Arrivals that ``op9_shards_size_tiered`` appends the table in.
@@ -182,17 +185,20 @@ class ShardStore:
             if s.path not in live:
                 self._fs.delete(self._path(s.path), False)
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version with _shard, _shard_bytes and _version."""
+    def read(self, version: int | None = None, names: Sequence[str] = LOCATION) -> DataFrame:
+        """The rows of a version with their shard, its bytes and the version, under ``names``."""
         version, shards = self.manifest(version)
         if not shards:
             raise ValueError("the store is empty")
         rows = self._rows(shards)
-        where = {"_shard": F.regexp_extract("_metadata.file_path", "/data/(.*)$", 1), "_shard_bytes": F.col("_metadata.file_size"), "_version": F.lit(version)}
-        return rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in where), *(v.alias(k) for k, v in where.items()))
+        values = F.regexp_extract("_metadata.file_path", "/data/(.*)$", 1), F.col("_metadata.file_size"), F.lit(version)
+        kept = [F.col(quoted(c)) for c in rows.columns if c not in names]
+        return rows.select(*kept, *(v.alias(n) for n, v in zip(names, values, strict=True)))
 
 
-def compacted(rows: DataFrame, root: str, target_bytes: int = TARGET_BYTES, arrival: Column | None = None) -> DataFrame:
+def compacted(
+    rows: DataFrame, root: str, target_bytes: int = TARGET_BYTES, arrival: Column | None = None, names: Sequence[str] = LOCATION
+) -> DataFrame:
     """``rows`` appended to the store at ``root``, in arrivals if told by what, compacted, and read back with their shards."""
     store = ShardStore(rows.sparkSession, root, target_bytes)
     if arrival is None:
@@ -201,16 +207,15 @@ def compacted(rows: DataFrame, root: str, target_bytes: int = TARGET_BYTES, arri
         store.append_each(rows, arrival)
     version = store.compact()
     store.vacuum()
-    return store.read(version)
+    return store.read(version, names)
 
 
 def op9_shards_size_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     arrival = F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))  # every row comes with one of them
-    rows = compacted(docs, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", arrival=arrival)
+    names = free_names(docs.columns, "shard", "shard_bytes", "manifest_version")
+    rows = compacted(docs, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", arrival=arrival, names=names)
+    shard, size, version = map(F.col, names)
     return rows.select(
-        "doc_id",
-        F.col("_shard").alias("shard"),
-        F.col("_shard_bytes").cast("bigint").alias("shard_bytes"),
-        F.col("_version").cast("bigint").alias("manifest_version"),
+        "doc_id", shard.alias("shard"), size.cast("bigint").alias("shard_bytes"), version.cast("bigint").alias("manifest_version")
     )
