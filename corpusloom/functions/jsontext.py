@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _FENCE = re.compile(r"^\s*```[a-zA-Z]*\s*\n(.*?)\n?\s*```\s*$", re.S)
-_COMMA = re.compile(r"([\"\d\]}el])(\s*\n\s*)(?=\")")
+_TOKEN = re.compile(r'\s*(?:(?P<value>"(?:[^"\\]|\\.)*"|-?\d[\d.eE+-]*|true|false|null)|(?P<open>[{\[])|(?P<close>[}\]])|(?P<between>[,:]))', re.S)
 
 
 def canonical(text: str, compact: bool = False) -> str:
@@ -18,8 +20,19 @@ def canonical(text: str, compact: bool = False) -> str:
     return json.dumps(json.loads(text), sort_keys=True, ensure_ascii=False, separators=(",", ":") if compact else None)
 
 
+def with_commas(text: str) -> str:
+    """``text`` with a comma wherever one value ends and another begins with nothing between; as it is if it isn't JSON's tokens."""
+    out, at, ended = [], 0, False
+    for m in iter(lambda: _TOKEN.match(text, at), None):
+        if ended and (m["value"] or m["open"]):
+            out.append(",")
+        out.append(m[0])
+        at, ended = m.end(), bool(m["value"] or m["close"])
+    return text if text[at:].strip() else "".join(out)
+
+
 def read_lenient(text: str | None) -> str | None:
-    """The canonical JSON of an answer: bare, fenced, the outermost braces of prose, or with commas missing between lines.
+    """The canonical JSON of an answer: bare, fenced, the outermost braces of prose, or with commas missing anywhere.
 
     A repair counts only if the result is JSON, and a text with an empty string is never repaired, as that could change it.
     """
@@ -28,7 +41,8 @@ def read_lenient(text: str | None) -> str | None:
     fenced = _FENCE.match(text)
     body = fenced[1] if fenced else text
     inner = body[body.find("{") : body.rfind("}") + 1]
-    for candidate in (body, inner, _COMMA.sub(r"\1,\2", inner) if '""' not in inner else ""):
+    repaired = (with_commas(x) for x in (inner, body) if '""' not in x)
+    for candidate in chain((body, inner), repaired):
         try:
             return canonical(candidate)
         except ValueError:
@@ -103,7 +117,12 @@ def json_errors(text: Column, schema: dict) -> Column:
 
 
 def wrapped_or_bare(text: Column, key: str, inner: str) -> Column:
-    """The struct ``inner`` (DDL) under ``key``, or the whole object where it was left unwrapped."""
-    wrapped = F.from_json(text, f"`{key}` struct<{inner}>")[key]
-    bare = F.from_json(text, f"struct<{inner}>")
-    return F.coalesce(wrapped, bare)
+    """The struct ``inner`` (DDL) under ``key``, or the whole object where it was left unwrapped; null for anything else.
+
+    An object is either only if it has all the fields of ``inner``.
+    """
+    names = T.StructType.fromDDL(inner).names
+    wrapped = F.from_json(text, f"`{key}` map<string, string>")[key]
+    bare = F.from_json(text, "map<string, string>")
+    has_all = lambda fields: F.coalesce(F.size(F.array_except(F.array(*map(F.lit, names)), F.map_keys(fields))) == 0, F.lit(False))
+    return F.when(has_all(wrapped), F.from_json(text, f"`{key}` struct<{inner}>")[key]).when(has_all(bare), F.from_json(text, f"struct<{inner}>"))

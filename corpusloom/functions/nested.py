@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import clip
@@ -49,3 +49,9 @@ def usage(report: Column) -> Column:
     read = F.from_json(report, f"{fields}, completion_tokens_details struct<reasoning_tokens: bigint>")
     lifted = F.coalesce(read["reasoning_tokens"], read["completion_tokens_details"]["reasoning_tokens"])
     return F.struct(*(read[c].alias(c) for c in COUNTERS[:-1]), lifted.alias(COUNTERS[-1]))
+
+
+def unnest_stages(rows: DataFrame, keys: list[str], stages: list[str]) -> DataFrame:
+    """(keys, stage, fields) of the structs in the arrays ``stages``, which have the same fields: one pass over ``rows``."""
+    labelled = F.array(*(F.struct(F.lit(s).alias("stage"), F.col(s).alias("turns")) for s in stages))
+    return rows.select(*keys, F.inline(labelled)).select(*keys, "stage", F.inline("turns"))

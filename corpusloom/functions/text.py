@@ -46,3 +46,9 @@ def split_args(text: Column) -> Column:
 def first_full(*columns: Column) -> Column:
     """The first column that is neither null nor empty: records name the same field differently."""
     return F.coalesce(*(F.nullif(c, F.lit("")) for c in columns))
+
+
+def iso_utc(moment: Column) -> Column:
+    """A time as ISO-8601 text in UTC, whole seconds; the moment is given, so that reruns may agree."""
+    seconds = F.timestamp_seconds(F.unix_timestamp(moment.cast("timestamp")))
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), seconds.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

@@ -40,6 +40,11 @@ def upsert(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame
     return old.join(last.select(key), key, "left_anti").unionByName(put)
 
 
+def delete_by_key(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` without those of the ``keys``; keys that aren't there are ignored."""
+    return rows.join(keys.select(key).distinct(), key, "left_anti")
+
+
 def by_key_order(rows: DataFrame, key: Column, position: str) -> DataFrame:
     """Sorted by ``key``; rows without one come last, ties by position."""
     return rows.orderBy(key.isNull(), key, position)
@@ -66,6 +71,17 @@ def page(rows: DataFrame, position: str, offset: int, limit: int, most: int = 50
     return rows.orderBy(F.desc(position)).offset(max(0, offset)).limit(max(1, min(limit, most)))
 
 
+def page_of_lines(lines: DataFrame, position: str, value: str, offset: int, limit: int, most: int = 500) -> DataFrame:
+    """A page of JSON lines, newest first, with ``total``, the number of all lines that aren't blank.
+
+    Only the page is parsed: lines that aren't JSON objects are dropped after it was cut, so it may be short.
+    """
+    full = lines.filter(~F.col(value).rlike(r"^\s*$"))
+    total = full.agg(F.count("*")).scalar()
+    object_ = F.schema_of_variant(F.try_parse_json(F.col(value))).startswith("OBJECT")
+    return page(full, position, offset, limit, most).filter(F.coalesce(object_, F.lit(False))).withColumn("total", total)
+
+
 def last_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """The last ``k`` rows of each key. Spark cuts each task's rows to k before the shuffle."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -90,6 +106,31 @@ def origins(rows: DataFrame, position: str, initial: Column, consumed: Column) -
     return rows.withColumn("origin", origin).withColumn("likely_consumed", F.col(position) < consumed)
 
 
+def as_of(rows: DataFrame, events: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """``rows`` with ``value``: that of the last of ``events`` (keys, order, value) of the same keys at or before their ``order``.
+
+    Both are put in one order and the last value is carried on: one shuffle by key, whatever the number of events.
+    """
+    marked = rows.withColumn("_row", F.lit(1))
+    told = events.select(*keys, order, F.lit(0).alias("_row"), F.struct(F.col(value).alias("v")).alias("_told"))
+    both = marked.unionByName(told, allowMissingColumns=True)
+    upto = Window.partitionBy(*keys).orderBy(order, "_row").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_last", F.last("_told", ignorenulls=True).over(upto)).filter("_row = 1")
+    return carried.select(*rows.columns, F.col("_last.v").alias(value))
+
+
+def in_ranges(rows: DataFrame, ranges: DataFrame, at: str, begin: str, end: str, width: float) -> DataFrame:
+    """Each of ``rows`` with each of ``ranges`` that holds it: begin <= at < end, all numbers.
+
+    The line is cut to pieces of ``width``, a range stands in each piece that it touches, and rows meet it by piece, so it is
+    an equi-join; a width near that of the ranges keeps both the copies and the misses few.
+    """
+    piece = lambda x: F.floor(x / width).cast("bigint")
+    touched = F.explode(F.sequence(piece(F.col(begin)), piece(F.col(end))))
+    dealt = ranges.filter(F.col(begin) < F.col(end)).withColumn("_piece", touched)
+    return rows.withColumn("_piece", piece(F.col(at))).join(dealt, "_piece").filter((F.col(at) >= F.col(begin)) & (F.col(at) < F.col(end))).drop("_piece")
+
+
 def recent_same(rows: DataFrame, keys: list[str], order: str, value: str, k: int) -> DataFrame:
     """``rows`` with recent: the ``k`` values before this one of the same keys, oldest first."""
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(-k, -1)
@@ -129,7 +170,7 @@ def active(rows: DataFrame, key: str, order: list[str], done: Column) -> DataFra
 
 
 def joined_text(rows: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
-    """(keys, text) with the deltas of each key put together in order."""
+    """(keys, text) with the deltas of each key put together in order: one value, so one task has to hold a key's text."""
     parts = F.array_sort(F.collect_list(F.struct(order, text)))
     return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x[text]), "").alias("text"))
 

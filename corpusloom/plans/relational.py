@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators import records
 from corpusloom.plans.catalog import query
 from corpusloom.streaming import events as streaming
 
@@ -24,9 +25,9 @@ def status_filter(t, spark, sf_dir):
     return t("events").filter("event_type <> 'purchase'").select("event_id")
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT ALL SELECT o_custkey FROM orders")
+@query("SELECT o_custkey AS k FROM orders EXCEPT ALL SELECT c_custkey FROM customer")
 def key_difference(t, spark, sf_dir):
-    return t("customer").select(F.col("c_custkey").alias("k")).exceptAll(t("orders").select("o_custkey"))
+    return t("orders").select(F.col("o_custkey").alias("k")).exceptAll(t("customer").select("c_custkey"))
 
 
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
@@ -77,3 +78,66 @@ def session_windows(t, spark, sf_dir):
 def bounded_state_stream(t, spark, sf_dir):
     source = streaming.growing(spark, sf_dir, t("events").schema, "events.parquet").select("event_id", "user_id", "ts")
     return streaming.keep_last(source, ["user_id"], ["ts", "event_id"], 5, streaming.working_folder(spark)).select("event_id", "user_id")
+
+
+@query("""SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id * 2 FROM labels)""")
+def keys_deleted(t, spark, sf_dir):
+    gone = t("labels").select((F.col("doc_id") * 2).alias("doc_id"))
+    return records.delete_by_key(t("labels").select("doc_id", "quality"), gone, "doc_id")
+
+
+@query("""SELECT user_id, row_number() OVER (ORDER BY user_id) AS place FROM events GROUP BY user_id HAVING count(*) > 1""")
+def duplicate_ids_sorted(t, spark, sf_dir):
+    several = t("events").groupBy("user_id").count().filter("count > 1").select("user_id")
+    return records.numbered(several, [F.col("user_id")], "place", streaming.working_folder(spark))
+
+
+@query("""SELECT conv_id, greatest(CASE WHEN conv_id % 3 = 0 THEN conv_id % 10 END, count(*), CASE WHEN conv_id % 2 = 0 THEN 3 END)::BIGINT AS n FROM conversations GROUP BY conv_id""")
+def turns_counted(t, spark, sf_dir):
+    """The most of a stated number, the timeline's size and the turns' size, each of which may be missing."""
+    rows = t("conversations").groupBy("conv_id").agg(F.collect_list("turn").alias("timeline"))
+    stated = F.when(F.col("conv_id") % 3 == 0, F.col("conv_id") % 10)
+    turns = F.when(F.col("conv_id") % 2 == 0, F.array(F.lit(1), F.lit(2), F.lit(3)))
+    return rows.select("conv_id", records.actual_turns(stated, F.col("timeline"), turns).cast("bigint").alias("n"))
+
+
+@query("""SELECT e.event_id, e.user_id, v.value AS seen FROM (SELECT * FROM events WHERE event_type = 'purchase') e
+ASOF LEFT JOIN (SELECT user_id, ts, arg_max(value, event_id) AS value FROM events WHERE event_type = 'view' GROUP BY user_id, ts) v ON e.user_id = v.user_id AND e.ts >= v.ts""")
+def as_of_join(t, spark, sf_dir):
+    bought = t("events").filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    viewed = t("events").filter("event_type = 'view'").groupBy("user_id", "ts").agg(F.max_by("value", "event_id").alias("seen"))
+    return records.as_of(bought, viewed, ["user_id"], "ts", "seen").select("event_id", "user_id", "seen")
+
+
+@query("""SELECT p_partkey, s_suppkey FROM part JOIN supplier ON p_retailprice >= s_acctbal / 10 AND p_retailprice < s_acctbal / 10 + 50""")
+def range_join(t, spark, sf_dir):
+    ranges = t("supplier").select("s_suppkey", (F.col("s_acctbal") / 10).alias("begin"), (F.col("s_acctbal") / 10 + 50).alias("end"))
+    found = records.in_ranges(t("part").select("p_partkey", "p_retailprice"), ranges, "p_retailprice", "begin", "end", 50.0)
+    return found.select("p_partkey", "s_suppkey")
+
+
+@query("""SELECT event_type, count(DISTINCT user_id) AS users, true AS users_near, true AS median_near FROM events GROUP BY event_type""")
+def approximate_counts(t, spark, sf_dir):
+    """Sketches beside exact figures: within a tenth in number, and within a twentieth in rank."""
+    exact = t("events").groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("about"),
+        F.percentile_approx("value", 0.5, 1000).alias("middle"), F.percentile("value", F.array(F.lit(0.45), F.lit(0.55))).alias("around"),
+    )
+    near = F.abs(F.col("about") - F.col("users")) <= F.greatest(F.lit(1), F.col("users") / 10)
+    return exact.select("event_type", "users", near.alias("users_near"), F.col("middle").between(F.col("around")[0], F.col("around")[1]).alias("median_near"))
+
+
+@query("""SELECT o_orderkey, year(o_orderdate) AS y, date_trunc('month', o_orderdate)::DATE AS month, date_diff('day', DATE '1992-01-01', o_orderdate::DATE) AS days, sqrt(floor(o_totalprice)) AS root FROM orders""")
+def dates_and_numbers(t, spark, sf_dir):
+    return t("orders").select(
+        "o_orderkey", F.year("o_orderdate").cast("bigint").alias("y"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"),
+        F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint").alias("days"), F.sqrt(F.floor("o_totalprice")).alias("root"),
+    )
+
+
+@query("""SELECT c_mktsegment, count(*) AS n, sum(b) AS balance FROM (SELECT c_mktsegment, floor(c_acctbal)::BIGINT AS b FROM customer) GROUP BY c_mktsegment""")
+def map_totals(t, spark, sf_dir):
+    """Counters under dynamic keys: each row is a map, and its entries are added up by key."""
+    entries = F.create_map(F.col("c_mktsegment"), F.floor("c_acctbal").cast("bigint"))
+    rows = t("customer").select(F.explode(entries).alias("c_mktsegment", "b"))
+    return rows.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.sum("b").alias("balance"))

@@ -58,9 +58,8 @@ def usage_totals(t, spark, sf_dir):
 
 @query("""SELECT doc_id, sha256(text) = sha256(trim(regexp_replace(regexp_replace(text, '[\\r\\n]', ' ', 'g'), ' {2,}', ' ', 'g'))) AS reused FROM documents""")
 def signature_gate(t, spark, sf_dir):
-    stored = t("documents").select("doc_id", text.sha256(F.col("text")).alias("signature"))
-    made = t("documents").select("doc_id", text.sha256(text.normalize(F.col("text"))).alias("made"))
-    return stored.join(made, "doc_id").select("doc_id", (F.col("signature") == F.col("made")).alias("reused"))
+    signature, made = text.sha256(F.col("text")), text.sha256(text.normalize(F.col("text")))
+    return t("documents").select("doc_id", (signature == made).alias("reused"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id < (SELECT count(*) FROM labels) THEN 'initial' ELSE 'generated' END AS origin, doc_id < (SELECT count(*) FROM labels WHERE toxic = 0) AS likely_consumed FROM documents""")
@@ -96,3 +95,15 @@ def dead_letters(t, spark, sf_dir):
     t("events").select(line.alias("value")).write.text(folder)
     good, bad = lines.read_jsonl_lenient(spark, folder, T.StructType().add("k", "long"))
     return good.select(F.lit("record").alias("kind")).unionByName(bad.select(F.col("reason").alias("kind"))).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT conv_id, stage, turn, text FROM (
+  SELECT conv_id, 'said' AS stage, turn, text FROM conversations WHERE role <> 'system' UNION ALL
+  SELECT conv_id, 'set', turn, text FROM conversations WHERE role = 'system')""")
+def unnest_stages(t, spark, sf_dir):
+    """Two histories of a record, each an array, unnested under one label column."""
+    turn = F.struct("turn", "text")
+    rows = t("conversations").groupBy("conv_id").agg(
+        F.collect_list(F.when(F.col("role") != "system", turn)).alias("said"), F.collect_list(F.when(F.col("role") == "system", turn)).alias("set")
+    )
+    return nested.unnest_stages(rows, ["conv_id"], ["said", "set"])

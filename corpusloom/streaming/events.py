@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -26,8 +27,13 @@ def windowed(events: DataFrame, width: str = "1 hour", late: str = "1 day") -> D
 
 
 def working_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share; of this machine only where none is named, as in tests."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='stream-')}/{uuid.uuid4().hex}"
+    """A new folder that all executors share; of this machine only where none is named and the master is local, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="stream-")
+    return f"{shared}/{uuid.uuid4().hex}"
 
 
 def drain(stream: DataFrame, folder: str, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> None:
@@ -49,11 +55,13 @@ def sessions(events: DataFrame, key: str, gap: str, late: str = "1 day") -> Data
     return bounded.groupBy(key, F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
 
 
-def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, folder: str) -> DataFrame:
+def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, folder: str, keep: Column | None = None) -> DataFrame:
     """The last ``k`` rows of each key of all that a stream has brought so far; at most ``k`` a key are held.
 
+    With ``keep``, rows for which it isn't true leave the state once they are the last: keys that are done are given up.
+
     Each batch writes the state anew under its own number, from that of the batch before, so a batch that runs again
-    after a failure gives the same.
+    after a failure gives the same. Older states are removed: two are held, whatever the number of batches.
     """
     spark = stream.sparkSession
 
@@ -62,7 +70,10 @@ def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, fold
         rows = batch
         if number:
             rows = rows.unionByName(session.read.schema(stream.schema).parquet(f"{folder}/state-{number - 1}"))
-        last_k(rows, keys, [F.desc(c) for c in order], k).write.mode("overwrite").parquet(f"{folder}/state-{number}")
+        last = last_k(rows, keys, [F.desc(c) for c in order], k)
+        (last if keep is None else last.filter(keep)).write.mode("overwrite").parquet(f"{folder}/state-{number}")
+        old = session.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/state-{number - 2}")
+        old.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     drain(stream, folder, each=each)
     done = committed(spark, f"{folder}/checkpoint/commits")
@@ -71,6 +82,25 @@ def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, fold
     return spark.read.schema(stream.schema).parquet(f"{folder}/state-{done[-1]}")
 
 
+def updated(stream: DataFrame, key: Column, folder: str) -> DataFrame:
+    """The last state of each ``key`` of an aggregate over a stream, of all that it has told of in update mode so far.
+
+    Each batch appends what has changed, so the work of a batch follows its changes and not all windows there are.
+    """
+    spark = stream.sparkSession
+    told = stream.schema.add("_batch", "long")
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{folder}/changes/batch-{number}")
+
+    drain(stream, folder, "update", each)
+    done = committed(spark, f"{folder}/checkpoint/commits")
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    changes = spark.read.schema(told).parquet(*(f"{folder}/changes/batch-{n}" for n in done))
+    return changes.groupBy(key.alias("_key")).agg(F.max_by(F.struct(*stream.columns), "_batch").alias("_last")).select("_last.*")
+
+
 def committed(spark: SparkSession, folder: str) -> list[int]:
     """The numbers of the batches that a checkpoint has as committed."""
     try:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import nested
@@ -49,5 +50,39 @@ def test_stream_state_is_bounded_and_goes_on(spark, tmp_path):
     rows.filter("id >= 12").repartition(2).write.mode("append").parquet(source)
     assert sorted(r["id"] for r in events.keep_last(stream(), ["k"], ["id"], 2, work).collect()) == list(range(24, 30))
     assert sorted(r["id"] for r in events.keep_last(stream(), ["k"], ["id"], 2, work).collect()) == list(range(24, 30))
+    # Of all the states that were written, the last two are there.
+    assert len(list((tmp_path / "work").glob("state-*"))) == 2
     (tmp_path / "none").mkdir()
     assert events.keep_last(events.growing(spark, str(tmp_path / "none"), rows.schema), ["k"], ["id"], 2, str(tmp_path / "w2")).count() == 0
+
+
+def test_stream_changes_give_the_last_of_each_key(spark, tmp_path):
+    source, work = str(tmp_path / "in"), str(tmp_path / "work")
+    rows = spark.range(30).select((F.col("id") % 3).alias("k"), F.col("id"))
+    for part in (rows.filter("id < 12"), rows.filter("id >= 12"), None):
+        if part is not None:
+            part.repartition(3).write.mode("append").parquet(source)
+        counts = events.growing(spark, source, rows.schema, files=1).groupBy("k").agg(F.count("*").alias("n"))
+        got = {r["k"]: r["n"] for r in events.updated(counts, F.col("k"), work).collect()}
+    assert got == {0: 10, 1: 10, 2: 10}
+
+
+def test_done_keys_leave_the_state(spark, tmp_path):
+    source, work = str(tmp_path / "in"), str(tmp_path / "work")
+    first = spark.createDataFrame([("a", 1, False), ("b", 2, False)], "k string, at int, done boolean")
+    second = spark.createDataFrame([("a", 3, True), ("c", 4, False)], first.schema)
+    for part, want in ((first, ["a", "b"]), (second, ["b", "c"])):
+        part.write.mode("append").parquet(source)
+        stream = events.growing(spark, source, first.schema)
+        assert sorted(r["k"] for r in events.keep_last(stream, ["k"], ["at"], 1, work, keep=~F.col("done")).collect()) == want
+
+
+def test_folders_of_this_machine_only_where_the_master_is_local(spark, monkeypatch):
+    class Far:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = type("Conf", (), {"get": staticmethod(lambda *a: None)}), Far
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        events.working_folder(Session)
