@@ -192,9 +192,10 @@ def percent_done(done: Column, total: Column) -> Column:
     return F.when(total > 0, F.least(F.lit(100), F.round(100 * done / total).cast("int"))).otherwise(0)
 
 
-def check_ranges(stated: dict[str, int]) -> list[str]:
-    """What is wrong with the turn limits of a configuration."""
-    out = [f"{k} must be above 0" for k in ("min_turns", "max_turns", "target_turns") if stated.get(k, 1) <= 0]
-    if stated.get("max_turns", 1 << 31) < stated.get("min_turns", 0):
-        out.append("max_turns is below min_turns")
-    return out
+def range_errors(stated: dict[str, Column]) -> Column:
+    """What is wrong with the turn limits of each row's configuration; a limit that is null or not stated is right."""
+    limits = [k for k in ("min_turns", "max_turns", "target_turns") if k in stated]
+    errors = [F.when(stated[k] <= 0, f"{k} must be above 0") for k in limits]
+    if "min_turns" in stated and "max_turns" in stated:
+        errors.append(F.when(stated["max_turns"] < stated["min_turns"], "max_turns is below min_turns"))
+    return F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")

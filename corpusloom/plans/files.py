@@ -103,3 +103,32 @@ def format_round_trip(t, spark, sf_dir):
         back = formats.round_trip(rows, kind, working_folder(spark)).withColumn("kind", F.lit(kind))
         out = back if out is None else out.unionByName(back)
     return out
+
+
+@query("""SELECT 'a/b' AS key, '{"n": 2}' AS value UNION ALL SELECT 'c', '{"n": 3}'""")
+def document_cache(t, spark, sf_dir):
+    """Documents are put, replaced, deleted and looked up by key; a broken one counts as none."""
+    folder = working_folder(spark)
+    for key, value in (("a/b", '{"n": 1}'), ("c", '{"n": 3}'), ("d", '{"n": 4}'), ("e", "broken"), ("a/b", '{"n": 2}')):
+        lines.put_document(spark, folder, key, value)
+    for key in ("d", "none"):
+        lines.delete_document(spark, folder, key)
+    found = [lines.find_document(spark, folder, k).select(F.lit(k).alias("key"), "value") for k in ("a/b", "c", "d", "e")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query("""SELECT sha256('a.json' || chr(10) || sha256('{"n": 1}') || chr(10) || 'b_c.json' || chr(10) || sha256('{"n": 2}')) AS digest""")
+def folder_hash(t, spark, sf_dir):
+    folder = working_folder(spark)
+    for key, value in (("b c", '{"n": 2}'), ("a", '{"n": 1}')):
+        lines.put_document(spark, folder, key, value)
+    return spark.createDataFrame([(lines.folder_digest(spark, folder),)], "digest string")
+
+
+@query("""SELECT p_partkey, array_to_string(list_filter([
+  CASE WHEN lo <= 0 THEN 'min_turns must be above 0' END, CASE WHEN p_size <= 0 THEN 'max_turns must be above 0' END,
+  CASE WHEN p_size < lo THEN 'max_turns is below min_turns' END], lambda x: x IS NOT NULL), ', ') AS errors
+FROM (SELECT p_partkey, p_size, p_partkey % 60 - 5 AS lo FROM part)""")
+def range_checks(t, spark, sf_dir):
+    limits = {"min_turns": F.col("p_partkey") % 60 - 5, "max_turns": F.col("p_size")}
+    return t("part").select("p_partkey", F.array_join(records.range_errors(limits), ", ").alias("errors"))

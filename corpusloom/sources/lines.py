@@ -147,10 +147,34 @@ class Versions:
         return self.spark.read.schema(schema).json(f"{self.root}/data/{name}")
 
 
+def _document(spark: SparkSession, folder: str, key: str) -> str:
+    return f"{folder}/{spark.range(1).select(safe_name(F.lit(key))).first()[0]}.json"
+
+
+def put_document(spark: SparkSession, folder: str, key: str, value: str) -> None:
+    """Stores one JSON document under ``key``, in place of the one that is there; a reader sees either of them whole."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, draft = path(_document(spark, folder, key)), path(f"{folder}/.{uuid.uuid4().hex}")
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(draft, False)
+    out.write(value.encode())
+    out.close()
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = spark.sparkContext._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._jvm.java.lang.reflect.Array.newInstance(rename, 1)
+    options[0] = getattr(spark.sparkContext._jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    context.rename(draft, target, options)
+
+
+def delete_document(spark: SparkSession, folder: str, key: str) -> None:
+    """Removes the document under ``key``; there may be none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_document(spark, folder, key))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, False)
+
+
 def find_document(spark: SparkSession, folder: str, key: str) -> DataFrame:
     """The JSON document that is stored under ``key``, as text; no row if there is none."""
-    name = spark.range(1).select(safe_name(F.lit(key))).first()[0]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{name}.json").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", _document(spark, "", key)[1:]).load(folder)
     return files.select(F.decode("content", "UTF-8").alias("value")).filter(F.try_parse_json("value").isNotNull())
 
 

@@ -159,4 +159,6 @@ def test_small_functions(spark):
         records.actual_turns(F.lit(None).cast("int"), F.array(F.lit(1)), F.lit(None).cast("array<int>")),
     ).first()
     assert list(row) == ["ab... [truncated 4 chars]", 7, None, [], 0, 1]
-    assert records.check_ranges({"min_turns": 3, "max_turns": 2}) == ["max_turns is below min_turns"]
+    limits = {"min_turns": F.lit(3), "max_turns": F.lit(2), "target_turns": F.lit(None).cast("int")}
+    checks = spark.range(1).select(records.range_errors(limits), records.range_errors({"target_turns": F.lit(0)}), records.range_errors({})).first()
+    assert list(checks) == [["max_turns is below min_turns"], ["target_turns must be above 0"], []]
