@@ -15,6 +15,7 @@ are, whatever their names, by ``drop_near_copies``. Texts are told apart by hash
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
@@ -22,7 +23,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import batches_of, bounded_batches, durable, free_names, octets, own_columns, table
@@ -34,10 +35,14 @@ _SPREAD = np.uint64(0x0101010101010101)
 SHARD_ROWS = 20_000
 #: Pairs of a query and a tree node that are compared at once.
 FRONTIER = 1 << 20
+#: Bits that a shard of the near-duplicate stage shares at least, and fingerprints beyond which it shares more.
+LEAST_BITS, SHARD_POINTS = 12, 1024
+#: Share of bits in which two texts may differ so that they are missed with a chance of MISSED only.
+DIFFER, MISSED = 45 / 256, 0.007
 #: Texts whose shingle sets share so much of their union, 4 / 5, are near-duplicates.
 SIMILAR = (4, 5)
-#: Texts of a group, and their bytes, beyond which it is compared in pairs of parts.
-GROUP_ROWS, GROUP_BYTES = 4_000, 16 << 20
+#: Texts of a group, and their bytes, beyond which it is compared in parts, and texts that all its others are compared with first.
+GROUP_ROWS, GROUP_BYTES, PIVOTS = 1_000, 16 << 20, 4
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -193,8 +198,18 @@ def shared_blocks(blocks: int, differ: int, low: int = 0, bits: int = 64) -> lis
     return [sum(x) for x in combinations(each, blocks - differ)]
 
 
-def sampled_bits(lanes: int, bits: int, tables: int) -> list[list[int]]:
-    """Seeded bit samples: for each table a mask for every lane, ``bits`` bits in all."""
+def bits_for(points: int) -> int:
+    """Bits that a shard shares: so many more than LEAST_BITS that a shard has about SHARD_POINTS of ``points`` fingerprints, or fewer."""
+    return max(LEAST_BITS, math.ceil(math.log2(max(points, 1) / SHARD_POINTS)))
+
+
+def sampled_bits(lanes: int, bits: int) -> list[list[int]]:
+    """Seeded bit samples: for each table a mask for every lane, ``bits`` bits in all.
+
+    There are as many tables as it takes for two fingerprints that differ in DIFFER of 256 bits to meet in one with a chance of
+    1 - MISSED, whatever ``bits`` is: 48 for 12 bits, 107 for 16, 235 for 20.
+    """
+    tables = math.ceil(math.log(MISSED) / math.log1p(-((1 - DIFFER) ** bits)))
     draw, out = random.Random(SEED), []
     for _ in range(tables):
         masks = [0] * lanes
@@ -288,8 +303,12 @@ def _pairs_of_parts(id_: F.Column, rows: F.Column) -> F.Column:
     return _pairs_of(id_, F.ceil(rows * 2 / SHARD_ROWS).cast("bigint"))
 
 
+def _part(id_: F.Column, parts: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64(F.lit("part"), id_), parts)
+
+
 def _pairs_of(id_: F.Column, parts: F.Column) -> F.Column:
-    own = F.pmod(F.xxhash64(F.lit("part"), id_), parts)
+    own = _part(id_, parts)
     return F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda i: F.least(i, own) * parts + F.greatest(i, own))
 
 
@@ -385,24 +404,79 @@ def _links_of_groups(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
+def _links_to_pivots(width: int, share: tuple[int, int] = SIMILAR) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Maps batches (root, sub, member, text_hash, text), pivots before members, to (root, text_hash, linked: hashes of like pivots)."""
+    part, whole = share
+    schema = pa.schema([("root", pa.int64()), ("text_hash", pa.int64()), ("linked", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pivots = None, {}
+        for batch in batches_of(batches):
+            rows = zip(*(batch.column(i).to_pylist() for i in range(4)), octets(batch.column(4)), strict=True)
+            out = []
+            for root, sub, member, own, text in rows:
+                if (root, sub) != key:
+                    key, pivots = (root, sub), {}
+                tokens = np.unique(shingle_hashes(text, width))
+                if not member:
+                    pivots[own] = tokens
+                    continue
+                linked = []
+                for pivot, other in pivots.items():
+                    both = len(np.intersect1d(tokens, other, assume_unique=True))
+                    if both * whole >= part * (len(tokens) + len(other) - both):
+                        linked.append(pivot)
+                out.append({"root": root, "text_hash": own, "linked": linked})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
 def similar_links(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """Stars (a, b) of the text hashes of ``members`` (root, doc_id, text_hash) of one root that are alike by their texts.
 
-    A large group is compared in pairs of its parts: a task holds two parts, and no pair is left out.
+    A large group is first compared with PIVOTS of its texts, in as many tasks as it has parts. Those like a pivot have
+    their links, and a link between two of them would add nothing. Only the rest is compared with the rest and with all
+    others, in pairs of parts: a task holds two parts, and no link between components is left out. So the work grows with
+    a group's size, times what of it is like no pivot.
     """
     named = members.select("root", F.col("doc_id").alias("_id"), "text_hash")
     texts = docs.select("doc_id", "text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash(F.col("text")) == F.col("text_hash"))
     joined = texts.join(named, same).select("root", "text_hash", "text")
     joined = durable(joined.dropDuplicates(["root", "text_hash"]) if _repeated(texts) else joined)
-    size = F.greatest(F.count("*") / GROUP_ROWS, F.sum(F.coalesce(F.octet_length("text"), F.lit(0))) / GROUP_BYTES)
-    large = durable(joined.groupBy("root").agg(size.alias("size")).filter("size > 1"))
-    parts = F.ceil(F.col("size") * 2).cast("bigint")
-    subs = F.when(F.col("size").isNotNull(), _pairs_of(F.col("text_hash"), parts)).otherwise(F.array(F.lit(0).cast("bigint")))
-    dealt = joined.join(large, "root", "left").select("root", F.explode(subs).alias("sub"), "text_hash", "text")
-    dealt = dealt.repartition("root", "sub").sortWithinPartitions("root", "sub")
     bounded_batches(docs.sparkSession)
-    return dealt.mapInArrow(_links_of_groups(width), "a bigint, b bigint")
+    size = F.greatest(F.count("*") / GROUP_ROWS, F.sum(F.coalesce(F.octet_length("text"), F.lit(0))) / GROUP_BYTES)
+    parts = F.ceil(size * 2).cast("bigint").alias("parts")
+    large = durable(joined.groupBy("root").agg(size.alias("size"), parts).filter("size > 1").select("root", "parts"))
+    zero = F.lit(0).cast("bigint")
+    small = joined.join(large, "root", "left_anti").select("root", zero.alias("sub"), "text_hash", "text")
+    compared = lambda dealt: dealt.repartition("root", "sub").sortWithinPartitions("root", "sub").mapInArrow(_links_of_groups(width), "a bigint, b bigint")
+    if large.isEmpty():
+        return compared(small)
+    big = durable(joined.join(large, "root"))
+    place = F.row_number().over(Window.partitionBy("root").orderBy("text_hash"))
+    pivots = big.withColumn("place", place).filter(F.col("place") <= PIVOTS).withColumn("sub", F.explode(F.sequence(zero, F.col("parts") - 1)))
+    dealt = big.withColumn("sub", _part(F.col("text_hash"), F.col("parts")))
+    stream = pivots.select("root", "sub", F.lit(False).alias("member"), "text_hash", "text").unionByName(
+        dealt.select("root", "sub", F.lit(True).alias("member"), "text_hash", "text")
+    )
+    stream = stream.repartition("root", "sub").sortWithinPartitions("root", "sub", "member")
+    near = durable(stream.mapInArrow(_links_to_pivots(width), "root bigint, text_hash bigint, linked array<bigint>"))
+    stars = near.select(F.col("text_hash").alias("a"), F.explode("linked").alias("b")).filter("a <> b")
+    alone = near.select("root", "text_hash", (F.size("linked") == 0).alias("alone"))
+    if alone.filter("alone").isEmpty():
+        return compared(small).unionByName(stars)
+    marked = durable(big.drop("parts").join(alone, ["root", "text_hash"]))
+    sizes = marked.groupBy("root", "alone").agg(parts)
+    sizes = sizes.groupBy("root").agg(F.max(F.when(F.col("alone"), F.col("parts"))).alias("n"), F.max(F.when(~F.col("alone"), F.col("parts"))).alias("m"))
+    sizes = durable(sizes.filter("n IS NOT NULL"))  # m is there, as a pivot is like itself
+    n, m, own = F.col("n"), F.col("m"), _part(F.col("text_hash"), F.when(F.col("alone"), F.col("n")).otherwise(F.col("m")))
+    met = F.transform(F.sequence(zero, m - 1), lambda i: own * m + i)
+    among = F.transform(F.sequence(zero, n - 1), lambda i: n * m + F.least(i, own) * n + F.greatest(i, own))
+    subs = F.when(F.col("alone"), F.concat(met, among)).otherwise(F.transform(F.sequence(zero, n - 1), lambda i: i * m + own))
+    rest = marked.join(sizes, "root").select("root", F.explode(subs).alias("sub"), "text_hash", "text")
+    return compared(small.unionByName(rest)).unionByName(stars)
 
 
 def _repeated(rows: DataFrame) -> bool:
@@ -440,17 +514,19 @@ def shingle_links(texts: DataFrame, width: int, share: tuple[int, int] = SIMILAR
 
 
 def drop_near_copies(
-    docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 64, bits: int = 12, tables: int = 48, exact: bool = False
+    docs: DataFrame, width: int = 5, lanes: int = 4, radius: int = 64, bits: int | None = None, exact: bool = False
 ) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, that of the smallest doc_id; its columns, and no others, are kept.
 
     Texts are linked if their shingle sets have a similarity of SIMILAR or more. Fingerprints only find what is compared:
     two texts with a similarity of 0.8 differ in 39 of 256 bits on average, with a deviation of 5.7, so the radius is
-    four deviations above. Shards share ``bits`` sampled bits. All texts of a group of fingerprints are compared by
-    their sets, and what is alike makes the components. Repeated rows are copies of each other: one stays.
+    four deviations above. Shards share ``bits`` sampled bits, by default ``bits_for`` their number, so that a shard stays
+    small in a corpus of any size; the tables grow with the bits, and what is missed stays the same. All texts of a group of
+    fingerprints are compared by their sets, and what is alike makes the components. Repeated rows are copies of each other:
+    one stays.
 
     With ``exact``, ``shingle_links`` finds what is compared in place of the fingerprints: no link is missed, at the price
-    of two shuffles of all shingles.
+    of two shuffles of all shingles. Beyond about two billion texts that is also less than all the tables.
     """
     prints = durable(fingerprints(docs, width, lanes))
     fps = [f"fp{i}" for i in range(lanes)]
@@ -462,7 +538,9 @@ def drop_near_copies(
     else:
         # An id of 64 bits for a longer fingerprint; where two share it, their texts are compared in one group.
         texts = durable(texts.withColumn("id", F.xxhash64(*fps)))
-        stars = near_links(durable(texts.select("id", *fps).distinct()), lanes, radius, sampled_bits(lanes, bits, tables), None)
+        points = durable(texts.select("id", *fps).distinct())
+        masks = sampled_bits(lanes, bits_for(points.count()) if bits is None else bits)
+        stars = near_links(points, lanes, radius, masks, None)
     roots = components(stars).withColumnRenamed("node", "id")
     rooted = durable(texts.join(roots, "id", "left").select("text_hash", "doc_id", F.coalesce("root", "id").alias("root")))
     several = durable(rooted.groupBy("root").count().filter("count > 1").select("root"))

@@ -302,6 +302,15 @@ def test_fingerprints_by_brute_force(spark):
         assert tuple(by_id[d["doc_id"]]) == want
 
 
+def test_the_lexicon_is_the_same_however_it_is_counted(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    once = imatch.lexicon(docs).tolist()
+    for sent, held in ((0, imatch.HELD), (imatch.SENT_TERMS, 300), (0, 300)):
+        monkeypatch.setattr(imatch, "SENT_TERMS", sent)
+        monkeypatch.setattr(imatch, "HELD", held)
+        assert imatch.lexicon(docs).tolist() == once and len(once) > 100
+
+
 def test_containment_join_by_brute_force(spark):
     draw = random.Random(2)
     blocks = [(i, sorted(draw.sample(range(14), draw.randrange(1, 12)))) for i in range(200)]
@@ -399,7 +408,7 @@ def test_host_votes_outweigh_a_page(spark):
     assert got[9] == "short" and got[0] == ("long text " * 30).strip()
 
 
-def test_the_vote_of_a_host_by_known_main_texts(spark):
+def test_the_vote_of_a_host_by_known_main_texts(spark, monkeypatch):
     """Two layouts a host, without articles; on some pages other text is longer, so that only the host's vote finds the main text."""
     draw = random.Random(9)
     words = lambda n: " ".join(draw.choice(("stone", "river", "lamp", "road", "winter", "table", "green")) for _ in range(n))
@@ -421,6 +430,8 @@ def test_the_vote_of_a_host_by_known_main_texts(spark):
     got = {r["page_id"]: r["text"] for r in webpages.extract_pages(table).collect()}
     alone = {i: webpages.extract(html, []) for i, _, html in pages}
     assert got == want
+    monkeypatch.setattr(webpages, "SENT_BYTES", -1)  # winners are joined by host and salt in place of being sent
+    assert {r["page_id"]: r["text"] for r in webpages.extract_pages(table).collect()} == want
     assert sum(alone[i] != want[i] for i in want) >= 8
 
 
@@ -563,18 +574,30 @@ def test_recall_of_planted_pairs_by_similarity(spark):
     pairs = [(k, p) for k, (low, high) in enumerate(bands) for p in planted_pairs(draw, low, high, 300)]
     rows = [(2 * i + j, text) for i, (_, pair) in enumerate(pairs) for j, text in enumerate(pair)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for exact in (False, True):
-        kept = {r["doc_id"] for r in simhash.drop_near_copies(docs, exact=exact).select("doc_id").collect()}
+    for way in ({}, {"bits": 16}, {"exact": True}):
+        kept = {r["doc_id"] for r in simhash.drop_near_copies(docs, **way).select("doc_id").collect()}
         assert {2 * i for i in range(len(pairs))} <= kept
         found = [0] * len(bands)
         for i, (k, _) in enumerate(pairs):
             found[k] += 2 * i + 1 not in kept
-        print("exact" if exact else "sampled", dict(zip(bands, (n / 300 for n in found), strict=True)))
-        assert found[0] == 0 and min(found[1:]) >= (300 if exact else 290)
+        print(way, dict(zip(bands, (n / 300 for n in found), strict=True)))
+        assert found[0] == 0 and min(found[1:]) >= (300 if way.get("exact") else 290)
+
+
+def test_shards_stay_small_in_a_corpus_of_any_size():
+    assert [simhash.bits_for(n) for n in (0, 10**5, 4 * 10**6, 10**7, 5 * 10**10)] == [12, 12, 12, 14, 26]
+    tables = {bits: simhash.sampled_bits(4, bits) for bits in (12, 16, 20)}
+    assert [len(tables[b]) for b in tables] == [48, 107, 235]
+    for bits, masks in tables.items():
+        assert all(sum(m.bit_count() for m in mask) == bits for mask in masks)
+        assert 0.004 < (1 - (1 - 45 / 256) ** bits) ** len(masks) <= 0.007
+
 
+def test_exact_links_by_all_pairs(spark, monkeypatch):
+    """Small texts of few words, so that sets of all sizes and overlaps occur, chains and texts without words among them.
 
-def test_exact_links_by_all_pairs(spark):
-    """Small texts of few words, so that sets of all sizes and overlaps occur, chains and texts without words among them."""
+    Groups are compared whole, and by pivots and pairs of parts.
+    """
     draw = random.Random(12)
     texts = list({" ".join(draw.choice("ab") for _ in range(draw.choice((2, 4, 5, 9, 25, 50, 70)))) for _ in range(250)}) + ["", " ", None]
     docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
@@ -593,3 +616,24 @@ def test_exact_links_by_all_pairs(spark):
             root[y] = x
     want = {i for i in range(len(texts)) if find(i) == i}
     assert {r["doc_id"] for r in simhash.drop_near_copies(docs, exact=True).collect()} == want and len(want) < len(texts) - 20
+    for most in (20, 3):
+        monkeypatch.setattr(simhash, "GROUP_ROWS", most)
+        assert {r["doc_id"] for r in simhash.drop_near_copies(docs, exact=True).collect()} == want
+
+
+def test_a_large_group_is_linked_by_pivots_and_the_rest(spark, monkeypatch):
+    """A group whose texts change bit by bit, so that the ends aren't alike: one component, however it is dealt."""
+    draw = random.Random(13)
+    words, rows = [f"w{draw.randrange(10**6)}" for _ in range(100)], []
+    for i in range(60):
+        words[draw.randrange(100)] = f"y{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, root long")
+    members = docs.select("root", "doc_id", simhash.text_hash(F.col("text")).alias("text_hash"))
+    sets = [{tuple(x.split()[i : i + 5]) for i in range(96)} for _, x in rows]
+    assert 5 * len(sets[0] & sets[59]) < 4 * len(sets[0] | sets[59])
+    for most in (1000, 7, 1):
+        monkeypatch.setattr(simhash, "GROUP_ROWS", most)
+        links = simhash.similar_links(docs, members, 5)
+        assert {r["root"] for r in simhash.components(links).collect()} == {members.agg(F.min("text_hash")).first()[0]}
+        assert simhash.components(links).count() == 60

@@ -1,3 +1,8 @@
+import itertools
+import re
+from collections import defaultdict
+
+import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -92,3 +97,79 @@ def test_languages_are_rejected_by_chance_and_letters_kept_without_labels(spark,
         model = flat | {"bias": flat["bias"] + [0, tilt]}
         monkeypatch.setattr(bigru, "learn", lambda _, m=model: (["a", "b"], {k: v.astype("float32") for k, v in m.items()}))
         assert bigru.keep_identified(docs).count() == kept
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_dedup(docs):
+    """The rows of smallest doc_id of each component of texts whose five-word shingle sets have a similarity of 0.8, by all pairs."""
+    words = {i: [w for w in re.split("[ \t\n\x0b\x0c\r]+", t.translate(LOWER)) if w] for i, t in docs.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    root = {i: i for i in docs}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(docs), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {i: t for i, t in docs.items() if find(i) == i}
+
+
+def plain_cut(text, windows):
+    """``text`` without the characters from the first to the last word of each run of words that windows cover."""
+    places = [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.translate(LOWER))]
+    words = [text[a:b].translate(LOWER) for a, b in places]
+    hit = [False] * len(words)
+    for n in {len(w) for w in windows}:
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                hit[i : i + n] = [True] * n
+    out, at = "", 0
+    for k, (a, b) in enumerate(places):
+        if hit[k]:
+            if k == 0 or not hit[k - 1]:
+                out += text[at:a]
+            at = b
+    return out + text[at:]
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """Each stage of a run over whole tables against plain Python, and the mix against op4's SQL over its own input."""
+    from corpusloom.llm import bigru
+    from corpusloom.llm.mixing import OP4_SQL
+
+    sf = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scores = bigru.identify(docs, bigru.learn(docs.select("doc_id", "text", "lang"))).collect()
+    want = {r["doc_id"]: r["text"] for r in scores if any(c.isalpha() for c in r["text"]) and r["lang_pred"] != "und" and r["score"] >= 0.3}
+    docs = stages["language_id"](spark, docs, sf).cache()
+    assert {r["doc_id"]: r["text"] for r in docs.collect()} == want
+    want = plain_dedup(want)
+    docs = stages["near_dedup"](spark, docs, sf).cache()
+    assert {r["doc_id"]: r["text"] for r in docs.collect()} == want
+    windows = set()
+    for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
+        w = [x for x in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", r["text"].translate(LOWER)) if x]
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    cut = {i: plain_cut(t, windows) for i, t in want.items()}
+    assert any(cut[i] != want[i] for i in cut)
+    docs = stages["decontamination"](spark, docs, sf).cache()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in docs.collect()} == {i: (t, len(t)) for i, t in cut.items()}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    taken = {i: n for i, n in con.execute(f"SELECT doc_id, taken FROM ({OP4_SQL})").fetchall() if n}
+    mixed = stages["mixing"](spark, docs, sf).cache()
+    given = defaultdict(int)
+    for r in mixed.collect():
+        given[r["doc_id"]] += len([w for w in re.split("[ \t\n\x0b\x0c\r]+", r["text"]) if w])
+        assert r["text"] == cut[r["doc_id"]] or all(line in cut[r["doc_id"]] for line in r["text"].split("\n")) and r["n_chars"] == len(r["text"])
+    assert given == taken
+    last = stages["sharding"](spark, mixed, sf)
+    assert rows_of(last.select(*COLUMNS)) == rows_of(mixed) and last.select("manifest_version").distinct().count() == 1
