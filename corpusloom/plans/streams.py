@@ -59,6 +59,18 @@ def active_set_stream(t, spark, sf_dir):
     return out.select("user_id", "event_id", "event_type")
 
 
+@query("""SELECT p.event_id AS purchase_id, v.event_id AS view_id FROM events p JOIN events v ON p.user_id = v.user_id AND v.ts >= p.ts - INTERVAL 6 HOUR AND v.ts <= p.ts
+WHERE p.event_type = 'purchase' AND v.event_type = 'view'""")
+def interval_join_stream(t, spark, sf_dir):
+    """Purchases with what the same user has viewed in the six hours before, from two streams; old rows leave the state of both."""
+    folder = streaming.working_folder(spark)
+    source = lambda: streaming.growing(spark, sf_dir, t("events").schema, "events.parquet")
+    bought = streaming.told(source(), F.col("event_type") == "purchase", "2 days").select(F.col("user_id").alias("buyer"), F.col("ts").alias("bought"), F.col("event_id").alias("purchase_id"))
+    viewed = streaming.told(source(), F.col("event_type") == "view", "2 days").select("user_id", F.col("ts").alias("seen"), F.col("event_id").alias("view_id"))
+    streaming.drain(streaming.within(bought, viewed, F.col("buyer") == F.col("user_id"), "bought", "seen", "6 hours"), folder)
+    return spark.read.parquet(f"{folder}/rows").select("purchase_id", "view_id")
+
+
 @query("""SELECT event_id, user_id FROM events WHERE event_id > 900""")
 def tail_resumed(t, spark, sf_dir):
     return records.tail(t("events").select("event_id", "user_id"), "event_id", 900)

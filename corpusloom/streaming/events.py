@@ -55,6 +55,20 @@ def sessions(events: DataFrame, key: str, gap: str, late: str = "1 day") -> Data
     return bounded.groupBy(key, F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
 
 
+def told(events: DataFrame, which: Column, late: str) -> DataFrame:
+    """The rows of a stream for which ``which`` is true, with their lateness bounded."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).filter(which)
+
+
+def within(left: DataFrame, right: DataFrame, same: Column, at: str, seen: str, span: str) -> DataFrame:
+    """Rows of two streams that are the ``same`` and of which the right one was seen in the ``span`` up to the left one's time.
+
+    The span and both streams' lateness bound what is held of either.
+    """
+    near = (F.col(seen) >= F.col(at) - F.expr(f"INTERVAL {span}")) & (F.col(seen) <= F.col(at))
+    return left.join(right, same & near)
+
+
 def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, folder: str, keep: Column | None = None) -> DataFrame:
     """The last ``k`` rows of each key of all that a stream has brought so far; at most ``k`` a key are held.
 
