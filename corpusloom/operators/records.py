@@ -109,7 +109,8 @@ def origins(rows: DataFrame, position: str, initial: Column, consumed: Column) -
 def as_of(rows: DataFrame, events: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """``rows`` with ``value``: that of the last of ``events`` (keys, order, value) of the same keys at or before their ``order``.
 
-    Both are put in one order and the last value is carried on: one shuffle by key, whatever the number of events.
+    Both are put in one order and the last value is carried on: one shuffle by key, whatever the number of events. The rows
+    of a key pass through one task in order, none of them held.
     """
     marked = rows.withColumn("_row", F.lit(1))
     told = events.select(*keys, order, F.lit(0).alias("_row"), F.struct(F.col(value).alias("v")).alias("_told"))

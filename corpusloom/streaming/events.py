@@ -99,7 +99,8 @@ def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, fold
 def updated(stream: DataFrame, key: Column, folder: str) -> DataFrame:
     """The last state of each ``key`` of an aggregate over a stream, of all that it has told of in update mode so far.
 
-    Each batch appends what has changed, so the work of a batch follows its changes and not all windows there are.
+    Each batch appends what has changed, so the work of a batch follows its changes and not all windows there are. The
+    changes stay on disk, a folder a batch; for a stream without end take ``keep_last``, which holds two states.
     """
     spark = stream.sparkSession
     told = stream.schema.add("_batch", "long")
