@@ -135,7 +135,10 @@ class Stack:
     def push(self, tag: str, *rest) -> None:
         place = len(self.open)
         self.open.append((tag, *rest))
-        self.places.setdefault(tag, []).append(place)
+        if tag in self.places:
+            self.places[tag].append(place)
+        else:
+            self.places[tag] = [place]
         if tag in _BLOCK:
             self.blocks.append(place)
         if tag in _CONTAINER:
@@ -153,7 +156,12 @@ class Stack:
 
     def last(self, tags: tuple[str, ...]) -> int:
         """The place of the innermost of ``tags``; 0 if none is open."""
-        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+        found = 0
+        for tag in tags:
+            places = self.places.get(tag)
+            if places and places[-1] > found:
+                found = places[-1]
+        return found
 
     def holds_block(self, place: int) -> bool:
         return bool(self.blocks) and self.blocks[-1] >= place
@@ -214,10 +222,13 @@ def parse(source: str) -> Page:
         stack.cut(place)
 
     def close(tags: tuple[str, ...], walls: tuple[str, ...]) -> None:
-        place, wall = stack.last(tags), stack.last(walls)
+        place = stack.last(tags)
+        if not place:
+            return
+        wall = stack.last(walls)
         if "table" not in walls and stack.containers:
             wall = max(wall, stack.containers[-1])
-        if place and place >= wall:
+        if place >= wall:
             cut(place)
 
     at, n = 0, len(source)
