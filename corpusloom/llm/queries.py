@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bigru, chat, decontaminate, imatch, licenses, mixing, secretscan, shards, simhash, webpages
+from corpusloom.llm import (
+    bigru, chat, decontaminate, imatch, licenses, linededup, merkle, mixing, secretscan, shards, simhash, webpages, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid_bigru": bigru.op1_langid_bigru,
@@ -19,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages_host_paths": webpages.op8_pages_host_paths,
     "op9_shards_size_tiered": shards.op9_shards_size_tiered,
     "op10_simhash_bktree": simhash.op10_simhash_bktree,
+    "op11_lines_keep_bitmaps": linededup.op11_lines_keep_bitmaps,
+    "op12_whitening_welford_qr": whitening.op12_whitening_welford_qr,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +32,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mix_sainte_lague": mixing.OP4_SQL,
     "op6_licenses_set_join": licenses.OP6_SQL,
     "op7_chat_templates": chat.OP7_SQL,
+    "op11_lines_keep_bitmaps": linededup.OP11_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
