@@ -209,8 +209,8 @@ over_all AS (SELECT 0 AS k, list(subroot ORDER BY place) AS d FROM sources
   UNION ALL SELECT k + 1, {_UP} FROM over_all WHERE len(d) > 1),
 sides AS (SELECT source, k, {_SIDES} AS s FROM up WHERE len(d) > 1),
 top_sides AS (SELECT k, {_SIDES} AS s FROM over_all WHERE len(d) > 1),
-lower_path AS (SELECT p.source, spot, list(s[spot // {RUN}**k::BIGINT + 1] ORDER BY k) AS path FROM (SELECT DISTINCT source, spot FROM placed) p JOIN sides x ON p.source IS NOT DISTINCT FROM x.source GROUP BY p.source, spot),
-upper_path AS (SELECT source, list(s[place // {RUN}**k::BIGINT + 1] ORDER BY k) AS path FROM sources, top_sides GROUP BY source),
+lower_path AS (SELECT p.source, spot, list(s[spot // ({RUN}**k)::BIGINT + 1] ORDER BY k) AS path FROM (SELECT DISTINCT source, spot FROM placed) p JOIN sides x ON p.source IS NOT DISTINCT FROM x.source GROUP BY p.source, spot),
+upper_path AS (SELECT source, list(s[place // ({RUN}**k)::BIGINT + 1] ORDER BY k) AS path FROM sources, top_sides GROUP BY source),
 joined AS (SELECT p.*, t.subroot, (SELECT d[1] FROM over_all WHERE len(d) = 1) AS root,
     list_concat(coalesce(l.path, []), coalesce(u.path, [])) AS path
   FROM placed p JOIN tops t ON p.source IS NOT DISTINCT FROM t.source

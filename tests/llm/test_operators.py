@@ -41,6 +41,8 @@ def odd(spark, tmp_path_factory):
         spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
         said = [(1, 0, "user", None), (1, 0, "user", None), (None, None, None, "x<|im_end|>"), (2, 1, "as\n\\sistant", "<\\|y")] if rows else []
         spark.createDataFrame(said, "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
+        vectors = [(None, [1.0, float("nan")], 1), (1, None, 1), (2, [0.5, 1.0], 1), (2, [0.5, 1.0], 1), (3, [1.0, -1.0], None), (4, [None, 1.0], 1)] if rows else []
+        spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{root}/embeddings.parquet")
         out[name] = str(root)
     return out
 
@@ -52,12 +54,12 @@ def test_rows_are_those_of_the_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_odd_and_empty_tables(spark, odd, name):
-    rows = {"op7_chat_templates": 4, "op8_pages_host_paths": 3}.get(name, len(ODD))
+    rows = {"op7_chat_templates": 4, "op8_pages_host_paths": 3, "op12_whitening_welford_qr": 3}.get(name, len(ODD))
     assert len(QUERIES[name](spark, odd["odd"]).collect()) == rows
     assert len(QUERIES[name](spark, odd["empty"]).collect()) == (1 if name == "op7_chat_templates" else 0)
 
 
-@pytest.mark.parametrize("name", ["op2_decontaminate_fmindex", "op3_secrets_blob_ledger", "op4_mix_sainte_lague", "op6_licenses_set_join", "op7_chat_templates"])
+@pytest.mark.parametrize("name", ["op2_decontaminate_fmindex", "op3_secrets_blob_ledger", "op4_mix_sainte_lague", "op6_licenses_set_join", "op7_chat_templates", "op11_lines_keep_bitmaps", "op13_merkle_manifest"])
 def test_odd_rows_are_those_of_the_sql(spark, odd, name):
     oracle.compare(spark, QUERIES[name], ORACLE_SQL[name], odd["odd"])
 
