@@ -9,7 +9,7 @@ blobs that were seen are never read by a regular expression again.
 Copies meet in a map-side aggregate before the shuffle, so a blob of very many paths costs one row a task. Findings
 are joined to (path, blob) rows, without texts; Spark splits a blob of very many paths there.
 
-Positions are code points: the lengths of what stands between the matches and of the matches, added up.
+Positions are code points: running sums of the lengths of what stands between the matches and of the matches.
 
 Defined cases: a null text is the empty blob; a null path is a path; repeated rows each get their findings; an empty
 history appends nothing and gives no rows; matches that fail a rule's least length are dropped after they have matched,
@@ -20,10 +20,9 @@ columns of these names.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -63,36 +62,44 @@ RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 27, ("PRIVATE KEY-----",)),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xox",)),
 )
-_SPANS = "array<struct<start: bigint, end: bigint>>"
+_PIECES = "array<struct<rule: string, i: int, gap: int, size: int, kept: boolean>>"
+_FINDINGS = "array<struct<rule: string, start: bigint, end: bigint>>"
 
 
-def rule_spans(text: Column, rule: Rule) -> Column:
-    """The spans of a rule's matches in ``text`` that are long enough, in order."""
-    none = F.array().cast(_SPANS)
+def rule_pieces(text: Column, rule: Rule) -> Column:
+    """A rule's matches in ``text``, in order: the code points before each since the last, its own, and whether it is long enough."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     between = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(found))
     pairs = F.zip_with(between, found, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        kept = F.length(F.regexp_extract(pair["hit"], rule.pattern, rule.group) if rule.group else pair["hit"]) >= rule.least
-        one = F.array(F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end")))
-        return F.struct(end.cast("bigint").alias("at"), F.when(kept, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+    def piece(pair: Column, i: Column) -> Column:
+        size = F.length(pair["hit"])
+        kept = (F.length(F.regexp_extract(pair["hit"], rule.pattern, rule.group)) if rule.group else size) >= rule.least
+        return F.struct(F.lit(rule.name).alias("rule"), i.alias("i"), F.length(pair["gap"]).alias("gap"), size.alias("size"), kept.alias("kept"))
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
-    spans = F.aggregate(pairs, first, step, lambda s: s["out"])
-    spans = F.when(F.size(found) > 0, spans).otherwise(none)
+    pieces = F.transform(pairs, piece)
     if rule.needs:
         some = text.contains(rule.needs[0])
         for need in rule.needs[1:]:
             some = some | text.contains(need)
-        spans = F.when(some, spans).otherwise(none)
-    return spans
+        pieces = F.when(some, pieces).otherwise(F.array().cast(_PIECES))
+    return pieces
 
 
-def _named(rule: str) -> Callable[[Column], Column]:
-    return lambda x: F.struct(F.lit(rule).alias("rule"), x["start"].alias("start"), x["end"].alias("end"))
+def scanned(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, seen, findings) of ``todo`` (id, content, todo: names of the rules to run).
+
+    Positions are running sums over a blob's matches, one row a match: a text of very many takes time in proportion. The
+    rows stay where the blob is, as they are dealt by its id already.
+    """
+    none = F.array().cast(_PIECES)
+    each = [F.when(F.array_contains("todo", r.name), rule_pieces(F.col("content"), r)).otherwise(none) for r in rules]
+    rows = todo.select("id", "todo", F.inline_outer(F.concat(*each)))
+    upto = Window.partitionBy("id", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
+    finding = F.struct("rule", (F.col("end") - F.col("size")).cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
+    found = F.array_sort(F.collect_list(F.when(F.col("kept"), finding)))
+    return rows.groupBy(F.col("id").alias("blob")).agg(F.first("todo").alias("seen"), found.cast(_FINDINGS).alias("findings"))
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -129,16 +136,15 @@ def scan(history: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text:
         seen = here.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"))
         unseen = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
         todo = blobs.join(seen, F.col("id") == F.col("blob"), "left").withColumn("todo", unseen).filter(F.size("todo") > 0)
-    each = [F.when(F.array_contains("todo", r.name), rule_spans(F.col("content"), r)).otherwise(F.array().cast(_SPANS)) for r in rules]
-    findings = F.concat(*(F.transform(s, _named(r.name)) for r, s in zip(rules, each, strict=True)))
-    batch = todo.select(F.col("id").alias("blob"), F.col("todo").alias("seen"), findings.alias("findings"))
-    batch.write.parquet(f"{ledger}/batch={uuid.uuid4().hex}")
+    scanned(todo, rules).write.parquet(f"{ledger}/batch={uuid.uuid4().hex}")
     current = read_ledger(spark, ledger)
     if not first_scan:  # of a ledger that has grown long, only the blobs at hand are put together
         current = current.join(ids, F.col("blob") == F.col("id"), "left_semi")
     current = current.withColumn("findings", F.filter("findings", lambda x: F.array_contains(names, x["rule"])))
     # A pair that two batches hold, after a repeated run, counts once.
-    current = current.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+    current = current.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("sorted"))
+    again = lambda x, i: (i > 0) & (x == F.get("sorted", i - 1))
+    current = current.select("blob", F.filter("sorted", lambda x, i: ~again(x, i)).alias("findings"))
     # Written, so that both sides of the join are plain shuffles, of which Spark splits a blob of very many paths.
     current = durable(current)
     kept = [F.col(quoted(c)) for c in history.columns if c.lower() not in ("blob", "findings")]
