@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, instead_of: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` written to a folder that all executors share and read back, and the folder; ``instead_of``, an earlier one, is removed.
+
+    For loops, whose rounds join what the round before has made: a checkpoint keeps the size that was estimated for it, and the
+    estimate of a join is a product, so after some rounds its digits take longer than the join. What is read has its own size.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/round-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    if instead_of:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(instead_of)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
 def free_names(columns: list[str], *names: str) -> list[str]:
     """``names``, each behind as many underscores as set it apart from all ``columns``, whose case doesn't count."""
     taken, out = {c.lower() for c in columns}, []

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import durable
+from corpusloom.llm.common import durable, written
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
@@ -39,9 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     and the adaptive join splits a node with very many links over several tasks. Empty links give no rows; repeated links
     and self-links are harmless.
     """
-    edges = durable(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+    edges, folder = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -50,7 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = durable(large.distinct())
         low = _lowest(large)
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        edges = durable(small.filter("a <> b").distinct())
+        edges, folder = written(small.filter("a <> b").distinct(), instead_of=folder)
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             break

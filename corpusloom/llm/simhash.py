@@ -41,8 +41,8 @@ LEAST_BITS, SHARD_POINTS = 12, 1024
 DIFFER, MISSED = 45 / 256, 0.007
 #: Texts whose shingle sets share so much of their union, 4 / 5, are near-duplicates.
 SIMILAR = (4, 5)
-#: Texts of a group, and their bytes, beyond which it is compared in parts, and texts that all its others are compared with first.
-GROUP_ROWS, GROUP_BYTES, PIVOTS = 1_000, 16 << 20, 4
+#: Texts of a group, and their bytes, beyond which it is dealt in parts, and texts of it that put its shingles in order.
+GROUP_ROWS, GROUP_BYTES, SAMPLE = 1_000, 16 << 20, 64
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -404,41 +404,90 @@ def _links_of_groups(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def _links_to_pivots(width: int, share: tuple[int, int] = SIMILAR) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Maps batches (root, sub, member, text_hash, text), pivots before members, to (root, text_hash, linked: hashes of like pivots)."""
-    part, whole = share
-    schema = pa.schema([("root", pa.int64()), ("text_hash", pa.int64()), ("linked", pa.list_(pa.int64()))])
+def _ordered_sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Maps batches (root, sub, member, text_hash, text), a group's sample before its members, to (root, text_hash, n, tokens).
+
+    Tokens are the member's shingles, those that fewer texts of the sample hold first, so that what the group has in common
+    stands last. All members of a group have one order; which it is decides how much is compared, not what is found.
+    """
+    schema = pa.schema([("root", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pivots = None, {}
+        key, held, known = None, [], None
         for batch in batches_of(batches):
             rows = zip(*(batch.column(i).to_pylist() for i in range(4)), octets(batch.column(4)), strict=True)
             out = []
             for root, sub, member, own, text in rows:
                 if (root, sub) != key:
-                    key, pivots = (root, sub), {}
-                tokens = np.unique(shingle_hashes(text, width))
+                    key, held, known = (root, sub), [], None
+                # A text without words has one token of its own, as two empty sets are alike.
+                tokens = np.unique(shingle_hashes(text, width)) if text and text.split() else np.zeros(1, dtype=np.uint64)
                 if not member:
-                    pivots[own] = tokens
+                    held.append(tokens)
                     continue
-                linked = []
-                for pivot, other in pivots.items():
-                    both = len(np.intersect1d(tokens, other, assume_unique=True))
-                    if both * whole >= part * (len(tokens) + len(other) - both):
-                        linked.append(pivot)
-                out.append({"root": root, "text_hash": own, "linked": linked})
+                if known is None:
+                    known, counts = np.unique(np.concatenate(held), return_counts=True)
+                    held = []
+                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                common = np.where(known[at] == tokens, counts[at], 0)
+                out.append({"root": root, "text_hash": own, "n": len(tokens), "tokens": tokens[np.lexsort((tokens, common))].view(np.int64)})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
 
+def _alike(pairs: DataFrame, sets: DataFrame, share: tuple[int, int] = SIMILAR) -> DataFrame:
+    """(a, b) of the ``pairs`` (a, b) whose sets (text_hash, tokens) have a similarity of ``share``."""
+    part, whole = share
+    side = lambda name: sets.select(F.col("text_hash").alias(name), F.col("tokens").alias(f"tokens_{name}"))
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    both = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    return joined.filter(both * whole >= part * (F.size("tokens_a") + F.size("tokens_b") - both)).select("a", "b")
+
+
+def links_in_large_groups(sets: DataFrame, share: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Links (a, b) that join all of ``sets`` (root, text_hash, n, tokens in the order of their root) of one root that are alike.
+
+    Two sets of n <= m elements with a similarity of s share 2 s / (1 + s) * n or more, so one of the first elements of the smaller
+    that are left after as many, and one of those of the larger after s * m. Only pairs that share such an element are compared.
+    Those with the smallest set of about their size come first. What is in one component then needs no more links in it, so
+    of an element's sets only those outside its largest component are paired with the others: a group of copies isn't
+    squared, and neither is one that has its boilerplate in common, as that stands last in its order.
+    """
+    part, whole = share
+    n = F.col("n")
+    long, short = n - F.ceil(n * part / whole) + 1, n - F.ceil(n * (2 * part) / (whole + part)) + 1
+    first = sets.select("root", "text_hash", "n", short.alias("short"), F.posexplode(F.slice("tokens", F.lit(1), long.cast("int"))).alias("at", "token"))
+    first = durable(first.withColumn("class", F.floor(F.ln("n") / math.log(1.12)).cast("int")))
+    indexed = F.col("at") < F.col("short")
+    least = F.min(F.when(indexed, F.struct("n", "text_hash"))).alias("least")
+    heads = durable(first.groupBy("root", "token", "class").agg(least, F.count("*").alias("many")).filter("many > 1 AND least IS NOT NULL"))
+    pairs = first.join(heads, ["root", "token", "class"]).select(F.col("text_hash").alias("a"), F.col("least.text_hash").alias("b"))
+    links = durable(_alike(durable(pairs.filter("a <> b").distinct()), sets, share))
+    joined = components(links).select(F.col("node").alias("text_hash"), F.col("root").alias("component"))
+    placed = first.join(joined, "text_hash", "left").withColumn("component", F.coalesce("component", "text_hash"))
+    placed = durable(placed.select("root", "token", "text_hash", "n", "at", "component", indexed.alias("indexed")))
+    held = placed.groupBy("root", "token", "component").agg(F.count("*").alias("many"))
+    mains = held.groupBy("root", "token").agg(F.max(F.struct("many", "component")).alias("main"), F.count("*").alias("kinds"))
+    mains = durable(mains.filter("kinds > 1").select("root", "token", F.col("main.component").alias("main")))
+    open_ = durable(placed.join(mains, ["root", "token"]))
+    side = lambda rows, p: rows.select("root", "token", *(F.col(c).alias(f"{p}_{c}") for c in ("text_hash", "n", "at", "component", "indexed")))
+    met = side(open_.filter("component <> main"), "x").join(side(open_, "y"), ["root", "token"]).filter("x_component <> y_component")
+    x, y = (F.struct(*(F.col(f"{p}_{c}").alias(c) for c in ("n", "text_hash", "at", "indexed"))) for p in ("x", "y"))
+    met = met.select(F.least(x, y).alias("s"), F.greatest(x, y).alias("m")).filter(F.col("s.indexed") & (F.col("s.n") * whole >= F.col("m.n") * part))
+    # From the first element that they share on, there must be enough left.
+    met = met.groupBy(F.col("s.text_hash").alias("b"), F.col("m.text_hash").alias("a"), F.col("s.n").alias("n"), F.col("m.n").alias("m"))
+    met = met.agg(F.min("s.at").alias("i"), F.min("m.at").alias("j"))
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    met = met.filter(left * (whole + part) >= part * (F.col("n") + F.col("m"))).select("a", "b")
+    return links.unionByName(_alike(durable(met), sets, share))
+
+
 def similar_links(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """Stars (a, b) of the text hashes of ``members`` (root, doc_id, text_hash) of one root that are alike by their texts.
 
-    A large group is first compared with PIVOTS of its texts, in as many tasks as it has parts. Those like a pivot have
-    their links, and a link between two of them would add nothing. Only the rest is compared with the rest and with all
-    others, in pairs of parts: a task holds two parts, and no link between components is left out. So the work grows with
-    a group's size, times what of it is like no pivot.
+    A small group is compared in a task. A large one is dealt to as many tasks as it has parts, its shingles are put in
+    order by a sample of its texts, and pairs are compared that ``links_in_large_groups`` finds: no task holds a group.
     """
     named = members.select("root", F.col("doc_id").alias("_id"), "text_hash")
     texts = docs.select("doc_id", "text")
@@ -456,27 +505,14 @@ def similar_links(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
         return compared(small)
     big = durable(joined.join(large, "root"))
     place = F.row_number().over(Window.partitionBy("root").orderBy("text_hash"))
-    pivots = big.withColumn("place", place).filter(F.col("place") <= PIVOTS).withColumn("sub", F.explode(F.sequence(zero, F.col("parts") - 1)))
+    sample = big.withColumn("place", place).filter(F.col("place") <= SAMPLE).withColumn("sub", F.explode(F.sequence(zero, F.col("parts") - 1)))
     dealt = big.withColumn("sub", _part(F.col("text_hash"), F.col("parts")))
-    stream = pivots.select("root", "sub", F.lit(False).alias("member"), "text_hash", "text").unionByName(
+    stream = sample.select("root", "sub", F.lit(False).alias("member"), "text_hash", "text").unionByName(
         dealt.select("root", "sub", F.lit(True).alias("member"), "text_hash", "text")
     )
     stream = stream.repartition("root", "sub").sortWithinPartitions("root", "sub", "member")
-    near = durable(stream.mapInArrow(_links_to_pivots(width), "root bigint, text_hash bigint, linked array<bigint>"))
-    stars = near.select(F.col("text_hash").alias("a"), F.explode("linked").alias("b")).filter("a <> b")
-    alone = near.select("root", "text_hash", (F.size("linked") == 0).alias("alone"))
-    if alone.filter("alone").isEmpty():
-        return compared(small).unionByName(stars)
-    marked = durable(big.drop("parts").join(alone, ["root", "text_hash"]))
-    sizes = marked.groupBy("root", "alone").agg(parts)
-    sizes = sizes.groupBy("root").agg(F.max(F.when(F.col("alone"), F.col("parts"))).alias("n"), F.max(F.when(~F.col("alone"), F.col("parts"))).alias("m"))
-    sizes = durable(sizes.filter("n IS NOT NULL"))  # m is there, as a pivot is like itself
-    n, m, own = F.col("n"), F.col("m"), _part(F.col("text_hash"), F.when(F.col("alone"), F.col("n")).otherwise(F.col("m")))
-    met = F.transform(F.sequence(zero, m - 1), lambda i: own * m + i)
-    among = F.transform(F.sequence(zero, n - 1), lambda i: n * m + F.least(i, own) * n + F.greatest(i, own))
-    subs = F.when(F.col("alone"), F.concat(met, among)).otherwise(F.transform(F.sequence(zero, n - 1), lambda i: i * m + own))
-    rest = marked.join(sizes, "root").select("root", F.explode(subs).alias("sub"), "text_hash", "text")
-    return compared(small.unionByName(rest)).unionByName(stars)
+    sets = durable(stream.mapInArrow(_ordered_sets(width), "root bigint, text_hash bigint, n int, tokens array<bigint>"))
+    return compared(small).unionByName(links_in_large_groups(sets))
 
 
 def _repeated(rows: DataFrame) -> bool:

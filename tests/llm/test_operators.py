@@ -188,6 +188,19 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert len(pairs) == len(set(pairs)) == 2 * 3
 
 
+def test_half_a_million_hits_in_a_text(spark, tmp_path):
+    """Time in proportion to the hits: four times as many take about four times as long, not sixteen times."""
+    took = []
+    for n in (125_000, 500_000):
+        history = spark.range(1).select(F.lit("p").alias("path"), F.repeat(F.lit("é token=abcdef12 "), n).alias("text"))
+        began = time.time()
+        found = secretscan.scan(history, f"{tmp_path}/{n}").select("path", F.col("findings").getItem(n - 1).alias("last"), F.size("findings").alias("n"))
+        (row,) = found.collect()
+        took.append(time.time() - began)
+        assert row["n"] == n and (row["last"]["start"], row["last"]["end"]) == (17 * (n - 1) + 2, 17 * n - 1)
+    assert took[1] < 60 and took[1] < 10 * took[0]
+
+
 def test_ledger_keeps_clashing_columns_and_only_looks_up_what_is_there(spark, tmp_path):
     rows = [("p", "password=abcdef", 1, "x"), ("q", "password=abcdef", 2, "y"), ("r", None, 3, "z")]
     history = spark.createDataFrame(rows, "path string, text string, _blob int, blob string")
@@ -598,7 +611,7 @@ def test_shards_stay_small_in_a_corpus_of_any_size():
 def test_exact_links_by_all_pairs(spark, monkeypatch):
     """Small texts of few words, so that sets of all sizes and overlaps occur, chains and texts without words among them.
 
-    Groups are compared whole, and by pivots and pairs of parts.
+    Groups are compared whole, and by prefixes of their ordered shingles.
     """
     draw = random.Random(12)
     texts = list({" ".join(draw.choice("ab") for _ in range(draw.choice((2, 4, 5, 9, 25, 50, 70)))) for _ in range(250)}) + ["", " ", None]
@@ -623,7 +636,7 @@ def test_exact_links_by_all_pairs(spark, monkeypatch):
         assert {r["doc_id"] for r in simhash.drop_near_copies(docs, exact=True).collect()} == want
 
 
-def test_a_large_group_is_linked_by_pivots_and_the_rest(spark, monkeypatch):
+def test_a_large_group_is_linked_whole_however_it_is_dealt(spark, monkeypatch):
     """A group whose texts change bit by bit, so that the ends aren't alike: one component, however it is dealt."""
     draw = random.Random(13)
     words, rows = [f"w{draw.randrange(10**6)}" for _ in range(100)], []
@@ -639,3 +652,23 @@ def test_a_large_group_is_linked_by_pivots_and_the_rest(spark, monkeypatch):
         links = simhash.similar_links(docs, members, 5)
         assert {r["root"] for r in simhash.components(links).collect()} == {members.agg(F.min("text_hash")).first()[0]}
         assert simhash.components(links).count() == 60
+
+
+@pytest.mark.parametrize("share", [0.6, 0.74, 0.9])
+def test_boilerplate_is_compared_in_proportion(spark, monkeypatch, share):
+    """Texts of one boilerplate, below the bound or above it: pairs compared grow with the texts, not with their square."""
+    draw, per_row, linked = random.Random(15), [], []
+    own = round(200 * (1 - share) / (1 + share))  # words of its own at the end of each text
+    made = []
+    alike = simhash._alike
+    monkeypatch.setattr(simhash, "_alike", lambda pairs, sets, share: made.append(pairs.count()) or alike(pairs, sets, share))
+    common = " ".join(f"w{i}" for i in range(200 - own + 4))
+    for n in (1500, 6000):
+        made.clear()
+        rows = [(i, f"{common} " + " ".join(f"x{draw.randrange(10**9)}" for _ in range(own))) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        members = docs.select(F.lit(1).cast("long").alias("root"), "doc_id", simhash.text_hash(F.col("text")).alias("text_hash"))
+        linked.append(simhash.components(simhash.similar_links(docs, members, 5)).count())
+        per_row.append(sum(made) / n)
+    assert linked == ([0, 0] if share < 0.8 else [1500, 6000])
+    assert per_row[1] <= max(2 * per_row[0], 0.1) and per_row[1] < 4
