@@ -471,13 +471,16 @@ def links_in_large_groups(sets: DataFrame, share: tuple[int, int] = SIMILAR) ->
     mains = held.groupBy("root", "token").agg(F.max(F.struct("many", "component")).alias("main"), F.count("*").alias("kinds"))
     mains = durable(mains.filter("kinds > 1").select("root", "token", F.col("main.component").alias("main")))
     open_ = durable(placed.join(mains, ["root", "token"]))
-    side = lambda rows, p: rows.select("root", "token", *(F.col(c).alias(f"{p}_{c}") for c in ("text_hash", "n", "at", "component", "indexed")))
-    met = side(open_.filter("component <> main"), "x").join(side(open_, "y"), ["root", "token"]).filter("x_component <> y_component")
-    x, y = (F.struct(*(F.col(f"{p}_{c}").alias(c) for c in ("n", "text_hash", "at", "indexed"))) for p in ("x", "y"))
-    met = met.select(F.least(x, y).alias("s"), F.greatest(x, y).alias("m")).filter(F.col("s.indexed") & (F.col("s.n") * whole >= F.col("m.n") * part))
+    side = lambda rows, p: rows.select("root", "token", *(F.col(c).alias(f"{p}_{c}") for c in ("text_hash", "n", "at", "component")))
+    outside, short_ones = F.col("component") != F.col("main"), F.col("indexed")
+    # The smaller of two is indexed by the element, and one of them is outside the largest component.
+    one = side(open_.filter(short_ones & outside), "s").join(side(open_, "m"), ["root", "token"])
+    other = side(open_.filter(short_ones & ~outside), "s").join(side(open_.filter(outside), "m"), ["root", "token"])
+    met = one.unionByName(other).filter("s_component <> m_component AND (s_n < m_n OR (s_n = m_n AND s_text_hash < m_text_hash))")
+    met = met.filter(F.col("s_n") * whole >= F.col("m_n") * part)
     # From the first element that they share on, there must be enough left.
-    met = met.groupBy(F.col("s.text_hash").alias("b"), F.col("m.text_hash").alias("a"), F.col("s.n").alias("n"), F.col("m.n").alias("m"))
-    met = met.agg(F.min("s.at").alias("i"), F.min("m.at").alias("j"))
+    met = met.groupBy(F.col("s_text_hash").alias("b"), F.col("m_text_hash").alias("a"), F.col("s_n").alias("n"), F.col("m_n").alias("m"))
+    met = met.agg(F.min("s_at").alias("i"), F.min("m_at").alias("j"))
     left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
     met = met.filter(left * (whole + part) >= part * (F.col("n") + F.col("m"))).select("a", "b")
     return links.unionByName(_alike(durable(met), sets, share))
