@@ -21,13 +21,18 @@ def canonical(text: str, compact: bool = False) -> str:
 
 
 def with_commas(text: str) -> str:
-    """``text`` with a comma wherever one value ends and another begins with nothing between; as it is if it isn't JSON's tokens."""
-    out, at, ended = [], 0, False
+    """``text`` with a comma wherever one value ends and another begins with white space between, or behind a bracket.
+
+    As it is if it isn't JSON's tokens, or if a string touches the next value: there, a quote may stand in the string.
+    """
+    out, at, ended, string = [], 0, False, False
     for m in iter(lambda: _TOKEN.match(text, at), None):
         if ended and (m["value"] or m["open"]):
+            if string and not m[0][0].isspace():
+                return text
             out.append(",")
         out.append(m[0])
-        at, ended = m.end(), bool(m["value"] or m["close"])
+        at, ended, string = m.end(), bool(m["value"] or m["close"]), m[0].endswith('"')
     return text if text[at:].strip() else "".join(out)
 
 

@@ -1,19 +1,28 @@
 """Operators over records that have a key and a position: deduplication, upsert, order, pages, sequences.
 
 None of them gathers a key's rows in one place where an aggregate does: first and last rows are minima and maxima, which
-Spark computes in part before the shuffle, so a key of very many rows costs one row a task.
+Spark computes in part before the shuffle, so a key of very many rows costs one row a task. Columns that they add for a while have
+names that the rows don't have. Sequences by windows have a key in one task; where keys may be hot, take those in ``segments``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.names import col, free, own
+
+
+#: Pieces of a width that a range may touch before it stands in wider ones.
+COARSER = 16
+
 
 def first_of_each(rows: DataFrame, key: Column, position: str) -> DataFrame:
     """The row of smallest ``position`` of each ``key``."""
-    every = F.struct(*rows.columns)
-    return rows.groupBy(key.alias("_key")).agg(F.min_by(every, position).alias("_row")).select("_row.*")
+    held, row = free(rows.columns, "_key", "_row")
+    return rows.groupBy(key.alias(held)).agg(F.min_by(F.struct(*own(rows)), col(position)).alias(row)).select(f"{row}.*")
 
 
 def new_only(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -23,9 +32,10 @@ def new_only(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 def with_group(rows: DataFrame, key: Column, position: str) -> DataFrame:
     """``rows`` of keys that occur more than once, with group_first (smallest position) and group_size."""
-    keyed = rows.withColumn("_key", key)
-    groups = keyed.groupBy("_key").agg(F.min(position).alias("group_first"), F.count("*").alias("group_size")).filter("group_size > 1")
-    return keyed.join(groups, "_key").drop("_key")
+    (held,) = free([*rows.columns, "group_first", "group_size"], "_key")
+    keyed = rows.withColumn(held, key)
+    groups = keyed.groupBy(held).agg(F.min(col(position)).alias("group_first"), F.count("*").alias("group_size")).filter("group_size > 1")
+    return keyed.join(groups, held).drop(held)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame:
@@ -33,10 +43,11 @@ def upsert(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame
 
     The replacement takes the place of the first row it replaces; keys that are new come after all the old ones.
     """
-    last = new.groupBy(key).agg(F.max_by(F.struct(*new.columns), position).alias("_row")).select("_row.*")
-    places = old.groupBy(key).agg(F.min(position).alias("_place"))
-    end = F.coalesce(old.agg(F.max(position)).scalar(), F.lit(0)) + 1
-    put = last.join(places, key, "left").withColumn(position, F.coalesce("_place", end + F.col(position))).select(*old.columns)
+    row, place = free([*old.columns, *new.columns], "_row", "_place")
+    last = new.groupBy(key).agg(F.max_by(F.struct(*own(new)), col(position)).alias(row)).select(f"{row}.*")
+    places = old.groupBy(key).agg(F.min(col(position)).alias(place))
+    end = F.coalesce(old.agg(F.max(col(position))).scalar(), F.lit(0)) + 1
+    put = last.join(places, key, "left").withColumn(position, F.coalesce(col(place), end + col(position))).select(*own(old))
     return old.join(last.select(key), key, "left_anti").unionByName(put)
 
 
@@ -56,14 +67,15 @@ def numbered(rows: DataFrame, order: list[Column], name: str, folder: str) -> Da
     Ranges are sorted apart and only their sizes are added up, one row a range, so no task holds all rows. The folder is
     one that all executors share; it also keeps the places if a range is lost later.
     """
+    at, part, size, before, number = free([*rows.columns, name], "_at", "_range", "_size", "_before", "_number")
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
-    held = rows.sparkSession.read.parquet(folder).withColumn("_range", F.shiftright("_at", 33))
-    sizes = held.groupBy("_range").agg(F.count("*").alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = held.join(sizes.select("_range", before.alias("_before")), "_range")
-    return placed.withColumn(name, F.col("_before") + within + 1).select(*rows.columns, name)
+    ranged.withColumn(at, F.monotonically_increasing_id()).write.parquet(folder)
+    held = rows.sparkSession.read.parquet(folder).withColumn(part, F.shiftright(col(at), 33))
+    sizes = held.groupBy(part).agg(F.count("*").alias(size))
+    earlier = F.coalesce(F.sum(size).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    placed = held.join(sizes.select(part, earlier.alias(before)), part).withColumn(number, col(before) + within + 1)
+    return placed.select(*(c for c, n in zip(own(rows), rows.columns, strict=True) if n.lower() != name.lower()), col(number).alias(name))
 
 
 def page(rows: DataFrame, position: str, offset: int, limit: int, most: int = 500) -> DataFrame:
@@ -84,8 +96,8 @@ def page_of_lines(lines: DataFrame, position: str, value: str, offset: int, limi
 
 def last_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """The last ``k`` rows of each key. Spark cuts each task's rows to k before the shuffle."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
+    (place,) = free(rows.columns, "_place")
+    return rows.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(col(place) <= k).drop(place)
 
 
 def tail(rows: DataFrame, position: str, after: int | None, cold: int = 200) -> DataFrame:
@@ -112,24 +124,32 @@ def as_of(rows: DataFrame, events: DataFrame, keys: list[str], order: str, value
     Both are put in one order and the last value is carried on: one shuffle by key, whatever the number of events. The rows
     of a key pass through one task in order, none of them held.
     """
-    marked = rows.withColumn("_row", F.lit(1))
-    told = events.select(*keys, order, F.lit(0).alias("_row"), F.struct(F.col(value).alias("v")).alias("_told"))
-    both = marked.unionByName(told, allowMissingColumns=True)
-    upto = Window.partitionBy(*keys).orderBy(order, "_row").rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("_last", F.last("_told", ignorenulls=True).over(upto)).filter("_row = 1")
-    return carried.select(*rows.columns, F.col("_last.v").alias(value))
+    row, told, last = free([*rows.columns, *events.columns], "_row", "_told", "_last")
+    both = rows.withColumn(row, F.lit(1)).unionByName(
+        events.select(*keys, order, F.lit(0).alias(row), F.struct(col(value).alias("v")).alias(told)), allowMissingColumns=True
+    )
+    upto = Window.partitionBy(*keys).orderBy(order, row).rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn(last, F.last(told, ignorenulls=True).over(upto)).filter(col(row) == 1)
+    return carried.select(*(c for c, n in zip(own(rows), rows.columns, strict=True) if n != value), col(last)["v"].alias(value))
 
 
 def in_ranges(rows: DataFrame, ranges: DataFrame, at: str, begin: str, end: str, width: float) -> DataFrame:
     """Each of ``rows`` with each of ``ranges`` that holds it: begin <= at < end, all numbers.
 
     The line is cut to pieces of ``width``, a range stands in each piece that it touches, and rows meet it by piece, so it is
-    an equi-join; a width near that of the ranges keeps both the copies and the misses few.
+    an equi-join; a width near that of the ranges keeps both the copies and the misses few. A range of over COARSER pieces
+    stands in pieces COARSER times as wide, or that again, so it never has more than COARSER + 1, however long it is; rows are
+    dealt once for each of the widths that there are.
     """
-    piece = lambda x: F.floor(x / width).cast("bigint")
-    touched = F.explode(F.sequence(piece(F.col(begin)), piece(F.col(end))))
-    dealt = ranges.filter(F.col(begin) < F.col(end)).withColumn("_piece", touched)
-    return rows.withColumn("_piece", piece(F.col(at))).join(dealt, "_piece").filter((F.col(at) >= F.col(begin)) & (F.col(at) < F.col(end))).drop("_piece")
+    level, piece = free([*rows.columns, *ranges.columns], "_level", "_piece")
+    place = lambda x: F.floor(x / (width * F.pow(F.lit(float(COARSER)), col(level)))).cast("bigint")
+    span = F.greatest((col(end) - col(begin)) / width, F.lit(1.0))
+    levels = F.greatest(F.ceil(F.ln(span) / math.log(COARSER)) - 1, F.lit(0)).cast("int")
+    dealt = ranges.filter(col(begin) < col(end)).withColumn(level, levels)
+    there = [r[0] for r in dealt.select(level).distinct().collect()]  # a width each: as many as a number has digits, at most
+    dealt = dealt.withColumn(piece, F.explode(F.sequence(place(col(begin)), place(col(end)))))
+    asked = rows.withColumn(level, F.explode(F.array(*map(F.lit, there)).cast("array<int>"))).withColumn(piece, place(col(at)))
+    return asked.join(dealt, [level, piece]).filter((col(at) >= col(begin)) & (col(at) < col(end))).drop(level, piece)
 
 
 def recent_same(rows: DataFrame, keys: list[str], order: str, value: str, k: int) -> DataFrame:
@@ -146,11 +166,11 @@ def latest_known(rows: DataFrame, keys: list[str], order: list[str], value: Colu
 
 def runs(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """(keys, value, run_start, run_length) of consecutive rows with one value."""
+    (island,) = free([*rows.columns, "run_start", "run_length"], "_island")
     by = Window.partitionBy(*keys).orderBy(order)
-    island = F.row_number().over(by) - F.row_number().over(Window.partitionBy(*keys, value).orderBy(order))
-    return rows.withColumn("_island", island).groupBy(*keys, value, "_island").agg(
-        F.min(order).alias("run_start"), F.count("*").alias("run_length")
-    ).drop("_island")
+    number = F.row_number().over(by) - F.row_number().over(Window.partitionBy(*keys, value).orderBy(order))
+    counted = rows.withColumn(island, number).groupBy(*keys, value, island)
+    return counted.agg(F.min(order).alias("run_start"), F.count("*").alias("run_length")).drop(island)
 
 
 def collapse_repeats(rows: DataFrame, keys: list[str], order: list[str], same: list[str]) -> DataFrame:
@@ -160,14 +180,16 @@ def collapse_repeats(rows: DataFrame, keys: list[str], order: list[str], same: l
     for c in same:
         again = again & F.col(c).eqNullSafe(F.lead(c).over(following))
     last = F.lead(F.lit(1)).over(following).isNull()
-    return rows.withColumn("_again", again & ~last).filter("NOT _again").drop("_again")
+    (mark,) = free(rows.columns, "_again")
+    return rows.withColumn(mark, again & ~last).filter(~col(mark)).drop(mark)
 
 
 def active(rows: DataFrame, key: str, order: list[str], done: Column) -> DataFrame:
     """The last row of each key whose last row isn't done."""
-    every = F.struct(*(F.col(c) for c in order), F.struct(*rows.columns).alias("_row"), done.alias("_done"))
-    last = rows.groupBy(key).agg(F.max_by(every, F.struct(*order)).alias("_last"))
-    return last.filter("NOT _last._done").select("_last._row.*")
+    (last,) = free(rows.columns, "_last")
+    every = F.struct(F.struct(*own(rows)).alias("row"), done.alias("done"))
+    lasts = rows.groupBy(key).agg(F.max_by(every, F.struct(*order)).alias(last))
+    return lasts.filter(~col(last)["done"]).select(f"{last}.row.*")
 
 
 def joined_text(rows: DataFrame, keys: list[str], order: str, text: str) -> DataFrame:
@@ -176,10 +198,15 @@ def joined_text(rows: DataFrame, keys: list[str], order: str, text: str) -> Data
     return rows.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x[text]), "").alias("text"))
 
 
+def most_of(*counts: Column) -> Column:
+    """The largest of the counts that are there; 0 if none is."""
+    return F.coalesce(F.greatest(*counts), F.lit(0))
+
+
 def actual_turns(stated: Column, timeline: Column, turns: Column) -> Column:
-    """The largest of the turns stated and those there; 0 if none are."""
+    """The largest of the turns stated and those there; 0 if none are. Of rows, take ``most_of`` with a count in place of a list."""
     size = lambda a: F.when(a.isNotNull(), F.size(a))
-    return F.coalesce(F.greatest(stated, size(timeline), size(turns)), F.lit(0))
+    return most_of(stated, size(timeline), size(turns))
 
 
 def last_elements(values: Column, k: int) -> Column:
