@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import records
 from corpusloom.plans.catalog import query
+from corpusloom.sources.tail import tail
 from corpusloom.streaming import events as streaming
+from corpusloom.streaming import state
 
 
 @query("""WITH first AS (SELECT * FROM events WHERE event_type = 'purchase'), mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 3 DAY AS w FROM first),
@@ -74,3 +76,44 @@ def interval_join_stream(t, spark, sf_dir):
 @query("""SELECT event_id, user_id FROM events WHERE event_id > 900""")
 def tail_resumed(t, spark, sf_dir):
     return records.tail(t("events").select("event_id", "user_id"), "event_id", 900)
+
+
+def _arrivals(t, spark, folder):
+    """The events in two arrivals in order of time: each time, the stream of what has come so far."""
+    events = t("events").select("event_id", "user_id", "ts", "event_type")
+    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    for part in (events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        yield streaming.growing(spark, f"{folder}/in", events.schema, files=1_000_000)
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'purchase'""")
+def active_set_state(t, spark, sf_dir):
+    """The active set in the state store: a query that is started again in the middle; done keys leave the state behind the watermark."""
+    folder = streaming.working_folder(spark)
+    for stream in _arrivals(t, spark, folder):
+        marked = stream.withColumn("done", F.col("event_type") == "purchase")
+        out = state.active_keys(marked, "user_id", ["ts", "event_id"], "done", "ts", "1 hour", folder)
+    return out.select("user_id", "event_id", "event_type")
+
+
+@query("""SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n <= 3""")
+def last_k_state(t, spark, sf_dir):
+    """The last three events of each user as lists in the state store."""
+    folder = streaming.working_folder(spark)
+    for stream in _arrivals(t, spark, folder):
+        rows = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        out = state.last_rows(rows, "user_id", ["ts", "event_id"], 3, folder)
+    return out.select("event_id", "user_id")
+
+
+@query("""SELECT event_id, user_id FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id < (SELECT max(event_id) // 2 FROM events)) - 200""")
+def tail_stream(t, spark, sf_dir):
+    """A tail that starts cold on half of the events and goes on from its checkpoint when the others have come."""
+    folder = streaming.working_folder(spark)
+    events = t("events").select("event_id", "user_id")
+    half = events.agg(F.floor(F.max("event_id") / 2)).scalar()
+    for part in (events.filter(F.col("event_id") < half), events.filter(F.col("event_id") >= half)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        streaming.drain(tail(spark, f"{folder}/in", events.schema, "event_id"), folder)
+    return spark.read.parquet(f"{folder}/rows")
