@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import jsontext, text
+from corpusloom.functions import jsontext, text, variants
 from corpusloom.operators import records
 from corpusloom.streaming import events as streaming
 
@@ -190,10 +190,26 @@ def status_breakdown(t, spark, sf_dir):
 @query(r"""SELECT event_id, regexp_matches(props, '^\{"k": -?[0-9]+\}$') AS valid, try_cast(regexp_extract(props, '"k": (-?[0-9]+)', 1) AS BIGINT) AS k FROM events""")
 def json_props_valid(t, spark, sf_dir):
     schema = {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer"}}, "additionalProperties": False}
-    errors = jsontext.json_errors(F.col("props"), schema)
+    errors = variants.variant_errors(F.col("props"), schema)
     return t("events").select("event_id", (F.size(errors) == 0).alias("valid"), F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
+@query("""SELECT conv_id, turn, list_filter([CASE WHEN text IS NULL THEN '$.text: missing' END,
+  CASE WHEN role NOT IN ('user', 'assistant') THEN '$.role: not in enum' END, CASE WHEN turn % 3 = 0 THEN '$.parts[1].n: not integer' END], lambda x: x IS NOT NULL) AS errors FROM conversations""")
+def nested_shape_errors(t, spark, sf_dir):
+    """Turns as nested JSON, every third of them with a number that is a string; the errors have their paths."""
+    part = lambda n: F.named_struct(F.lit("n"), n)
+    odd = F.when(F.col("turn") % 3 == 0, '{"n": "x"}').otherwise(F.to_json(part(F.col("turn"))))
+    parts = F.concat(F.lit('"parts": ['), F.to_json(part(F.col("turn"))), F.lit(", "), odd, F.lit("]"))
+    record = F.concat(F.lit("{"), parts, F.lit(", "), F.substr(F.to_json(F.struct("role", "text")), F.lit(2)))
+    number = {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer"}}, "additionalProperties": False}
+    schema = {
+        "type": "object", "required": ["role", "text", "parts"], "additionalProperties": False,
+        "properties": {"role": {"type": "string", "enum": ["user", "assistant"]}, "text": {"type": "string"}, "parts": {"type": "array", "items": number}},
+    }
+    return t("conversations").select("conv_id", "turn", variants.variant_errors(record, schema).alias("errors"))
+
+
 @query("""SELECT event_id, sha256('{"k": ' || regexp_extract(props, '"k": (-?[0-9]+)', 1) || '}') AS digest, sha256('{"k":' || regexp_extract(props, '"k": (-?[0-9]+)', 1) || '}') AS signature FROM events""")
 def json_digests(t, spark, sf_dir):
     return t("events").select("event_id", jsontext.json_digest(F.col("props")).alias("digest"), jsontext.json_digest(F.col("props"), True).alias("signature"))
