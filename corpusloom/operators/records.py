@@ -38,15 +38,16 @@ def with_group(rows: DataFrame, key: Column, position: str) -> DataFrame:
     return keyed.join(groups, held).drop(held)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, key: str, position: str, end: int | None = None) -> DataFrame:
     """The rows of ``new`` in place of all of ``old`` with their key; of several in ``new`` the last by ``position``.
 
-    The replacement takes the place of the first row it replaces; keys that are new come after all the old ones.
+    The replacement takes the place of the first row it replaces; keys that are new come after all the old ones, or after ``end``.
     """
     row, place = free([*old.columns, *new.columns], "_row", "_place")
     last = new.groupBy(key).agg(F.max_by(F.struct(*own(new)), col(position)).alias(row)).select(f"{row}.*")
     places = old.groupBy(key).agg(F.min(col(position)).alias(place))
-    end = F.coalesce(old.agg(F.max(col(position))).scalar(), F.lit(0)) + 1
+    last_place = old.agg(F.max(col(position))).scalar() if end is None else F.lit(end)
+    end = F.coalesce(last_place, F.lit(0)) + 1
     put = last.join(places, key, "left").withColumn(position, F.coalesce(col(place), end + col(position))).select(*own(old))
     return old.join(last.select(key), key, "left_anti").unionByName(put)
 

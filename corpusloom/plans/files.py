@@ -9,7 +9,7 @@ from corpusloom.functions import jsontext
 from corpusloom.functions import text as texts
 from corpusloom.operators import records
 from corpusloom.plans.catalog import query
-from corpusloom.sources import formats, lines
+from corpusloom.sources import formats, keyed, lines
 from corpusloom.streaming.events import working_folder
 
 
@@ -132,3 +132,17 @@ FROM (SELECT p_partkey, p_size, p_partkey % 60 - 5 AS lo FROM part)""")
 def range_checks(t, spark, sf_dir):
     limits = {"min_turns": F.col("p_partkey") % 60 - 5, "max_turns": F.col("p_size")}
     return t("part").select("p_partkey", F.array_join(records.range_errors(limits), ", ").alias("errors"))
+
+
+@query("""WITH fresh AS (SELECT doc_id + 40 AS doc_id, 'new' AS lang, n_chars AS pos FROM documents WHERE doc_id % 50 = 7)
+SELECT 'after' AS version, doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM fresh) AND doc_id % 11 <> 3
+UNION ALL SELECT 'after', doc_id, lang FROM fresh WHERE doc_id % 11 <> 3 UNION ALL SELECT 'before', doc_id, lang FROM documents""")
+def merged_files(t, spark, sf_dir):
+    """Documents that are merged and deleted by key in files that hold those keys; the first version is read back, too."""
+    docs = t("documents").select("doc_id", "lang", F.col("n_chars").alias("pos"))
+    table = keyed.KeyedFiles(spark, working_folder(spark), docs.schema, "doc_id", "pos")
+    first = table.replace(docs)
+    table.merge(docs.filter("doc_id % 50 = 7").select((F.col("doc_id") + 40).alias("doc_id"), F.lit("new").alias("lang"), "pos"))
+    table.delete(docs.filter("doc_id % 11 = 3").unionByName(docs.select((F.col("doc_id") + 40).alias("doc_id"), "lang", "pos").filter("doc_id % 11 = 3")))
+    now = table.read().select(F.lit("after").alias("version"), "doc_id", "lang")
+    return now.unionByName(table.read(first).select(F.lit("before").alias("version"), "doc_id", "lang"))
