@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions import nested, text
+from corpusloom.functions import nested, shapes, text
 from corpusloom.operators import records
 from corpusloom.plans.catalog import query
 from corpusloom.sources import lines
@@ -107,3 +107,29 @@ def unnest_stages(t, spark, sf_dir):
         F.collect_list(F.when(F.col("role") != "system", turn)).alias("said"), F.collect_list(F.when(F.col("role") == "system", turn)).alias("set")
     )
     return nested.unnest_stages(rows, ["conv_id"], ["said", "set"])
+
+
+def _three_levels(t):
+    """Turns as records: a map by role of the words, each with its place, a note and its secret, beside where it is from."""
+    said = F.transform(F.split("text", " "), lambda w, i: F.struct(i.cast("bigint").alias("at"), w.alias("word"), F.struct(F.lit("s").alias("secret"), (i * 2).cast("bigint").alias("twice")).alias("note")))
+    source = F.struct(F.col("turn").alias("turn"), F.lit("s").alias("secret"))
+    return t("conversations").filter("text IS NOT NULL AND role IS NOT NULL").select("conv_id", "turn", "role", F.struct(F.create_map("role", said).alias("said"), source.alias("source")).alias("record"))
+
+
+@query("""SELECT conv_id, turn, list_transform(string_split(text, ' ')[-3:], lambda w: CASE WHEN len(w) > 4 THEN w[1:4] || '... [truncated ' || (len(w) - 4) || ' chars]' ELSE w END) AS words
+FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL""")
+def record_bounded(t, spark, sf_dir):
+    """The last three words of each turn's record, clipped where they stand, three levels down."""
+    rows = _three_levels(t)
+    cut = shapes.bounded_shape(F.col("record"), rows.schema["record"].dataType, keep=3, chars=4)
+    return rows.select("conv_id", "turn", F.transform(cut["said"][F.col("role")], lambda x: x["word"]).alias("words"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN role = 'system' THEN '{"said":{},"source":{"turn":' || turn || '}}' ELSE
+  '{"said":{"' || role || '":[' || array_to_string(list_transform(range(len(string_split(text, ' '))), lambda i: '{"at":' || i || ',"note":{"twice":' || 2 * i || '}}'), ',') || ']},"source":{"turn":' || turn || '}}' END AS record
+FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL""")
+def paths_dropped(t, spark, sf_dir):
+    """Records without their secrets at any depth, without words, and without what the system said."""
+    rows = _three_levels(t)
+    cut = shapes.bounded_shape(F.col("record"), rows.schema["record"].dataType, drop=("**.secret", "said.*.[].word", "said.system"))
+    return rows.select("conv_id", "turn", F.to_json(cut).alias("record"))
