@@ -30,8 +30,8 @@ def late_rows_dropped(t, spark, sf_dir):
 @query("""SELECT start, count(*) AS n FROM (
   SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start FROM events) GROUP BY start""")
 def sliding_stream(t, spark, sf_dir):
-    source = streaming.growing(spark, sf_dir, t("events").schema, "events.parquet")
-    counts = streaming.sliding(source, "1 hour", "30 minutes", late="36500 days")  # one file, so nothing is late
+    source = streaming.growing(spark, sf_dir, t("events").schema, "events.parquet", files=1_000_000)
+    counts = streaming.sliding(source, "1 hour", "30 minutes", late="2 days")  # one batch, so nothing is late
     out = streaming.updated(counts, F.col("w"), streaming.working_folder(spark))
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
 
@@ -41,13 +41,22 @@ def sliding_stream(t, spark, sf_dir):
     SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events))
 GROUP BY user_id, s""")
 def session_stream(t, spark, sf_dir):
-    """Sessions are given out once the watermark has passed them; here all are, in complete output."""
+    """Each session is given out once, when the watermark has passed it, and leaves the state; a mark of the end lets the last ones go."""
     folder = streaming.working_folder(spark)
-    source = streaming.growing(spark, sf_dir, t("events").schema, "events.parquet")
-    streaming.drain(streaming.sessions(source, "user_id", "6 hours", late="36500 days"), folder, "complete", lambda df, _: df.write.mode("overwrite").parquet(f"{folder}/rows"))
+    events = t("events").select("user_id", "ts")
+    for part in (events, _end(events)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        source = streaming.growing(spark, f"{folder}/in", events.schema, files=1_000_000)
+        streaming.drain(streaming.sessions(source, "user_id", "6 hours", late="2 days"), folder)
     return spark.read.parquet(f"{folder}/rows").select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
 
 
+def _end(rows):
+    """A row with nothing but a time long after all others."""
+    last = rows.agg((F.max("ts") + F.expr("INTERVAL 60 DAY")).alias("ts"))
+    return last.select(*(F.col("ts") if c == "ts" else F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes))
+
+
 @query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1 AND event_type <> 'purchase'""")
 def active_set_stream(t, spark, sf_dir):
     """Keys whose last event isn't a purchase, from a stream in two arrivals in order of time; done keys leave the state."""
@@ -73,6 +82,43 @@ def interval_join_stream(t, spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows").select("purchase_id", "view_id")
 
 
+@query("""SELECT p.event_id AS purchase_id, v.event_id AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') p LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v
+ON p.user_id = v.user_id AND v.ts >= p.ts - INTERVAL 6 HOUR AND v.ts <= p.ts""")
+def outer_join_stream(t, spark, sf_dir):
+    """Purchases with what the user has viewed in the six hours before, or with null, once; the streams come in three arrivals."""
+    folder = streaming.working_folder(spark)
+    events = t("events").select("event_id", "user_id", "ts", "event_type")
+    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    ends = _end(events)
+    # A mark for either stream, with a user, as rows without one are left out before their time is seen.
+    mark = lambda kind, user: ends.withColumn("event_type", F.lit(kind)).withColumn("user_id", F.lit(user).cast("bigint"))
+    ends = mark("purchase", -1).unionByName(mark("view", -2))
+    for part in (events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle), ends):
+        part.write.mode("append").parquet(f"{folder}/in")
+        source = lambda: streaming.growing(spark, f"{folder}/in", events.schema, files=1_000_000)
+        bought = streaming.told(source(), F.col("event_type") == "purchase", "1 day").select(F.col("user_id").alias("buyer"), F.col("ts").alias("bought"), F.col("event_id").alias("purchase_id"))
+        viewed = streaming.told(source(), F.col("event_type") == "view", "1 day").select("user_id", F.col("ts").alias("seen"), F.col("event_id").alias("view_id"))
+        streaming.drain(streaming.within_or_alone(bought, viewed, F.col("buyer") == F.col("user_id"), "bought", "seen", "6 hours"), folder)
+    return spark.read.parquet(f"{folder}/rows").filter("purchase_id IS NOT NULL").select("purchase_id", "view_id")
+
+
+@query("""WITH mid AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS m FROM events), edge AS (SELECT max(ts) AS e FROM events, mid WHERE ts < m)
+SELECT event_id, ts FROM events UNION ALL SELECT event_id, e AS ts FROM events, edge WHERE ts < e - INTERVAL 6 HOUR""")
+def repeats_dropped_stream(t, spark, sf_dir):
+    """Events come again in a second arrival: those of the last hour are known and go, those whose key was given up count as new."""
+    folder = streaming.working_folder(spark)
+    events = t("events").select("event_id", "ts")
+    middle = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2")).scalar()
+    first = events.filter(F.col("ts") < middle)
+    edge = first.agg(F.max("ts")).scalar()
+    again = first.filter(F.col("ts") >= edge - F.expr("INTERVAL 1 HOUR")).unionByName(first.filter(F.col("ts") < edge - F.expr("INTERVAL 6 HOUR")).withColumn("ts", edge))
+    for part in (first, events.filter(F.col("ts") >= middle).unionByName(again)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        source = streaming.growing(spark, f"{folder}/in", events.schema, files=1_000_000)
+        streaming.drain(streaming.without_repeats(source, ["event_id"], "2 hours"), folder)
+    return spark.read.parquet(f"{folder}/rows").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 @query("""SELECT event_id, user_id FROM events WHERE event_id > 900""")
 def tail_resumed(t, spark, sf_dir):
     return records.tail(t("events").select("event_id", "user_id"), "event_id", 900)

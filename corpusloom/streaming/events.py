@@ -69,6 +69,18 @@ def within(left: DataFrame, right: DataFrame, same: Column, at: str, seen: str,
     return left.join(right, same & near)
 
 
+def within_or_alone(left: DataFrame, right: DataFrame, same: Column, at: str, seen: str, span: str) -> DataFrame:
+    """As ``within``, and the left rows that have no such right one, with nulls, once: when the watermark of both streams has passed
+    all that could still come."""
+    near = (F.col(seen) >= F.col(at) - F.expr(f"INTERVAL {span}")) & (F.col(seen) <= F.col(at))
+    return left.join(right, same & near, "leftOuter")
+
+
+def without_repeats(events: DataFrame, keys: list[str], late: str) -> DataFrame:
+    """The first row of each key; a key is held for ``late``, by event time, after its first row, and a later one counts as new."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+
+
 def keep_last(stream: DataFrame, keys: list[str], order: list[str], k: int, folder: str, keep: Column | None = None) -> DataFrame:
     """The last ``k`` rows of each key of all that a stream has brought so far; at most ``k`` a key are held.
 
