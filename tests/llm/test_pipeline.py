@@ -81,6 +81,9 @@ def test_queries_take_tables_with_clashing_columns(spark, tmp_path):
     odd_table(spark).write.parquet(f"{odd}/documents.parquet")
     for folder in (plain, odd):
         spark.createDataFrame([(1, "hidden hello there the")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    vectors = spark.createDataFrame([(i, [float(i * i % 7), float(i % 5), 1.5 * i]) for i in range(12)], "vec_id long, embedding array<float>")
+    vectors.write.parquet(f"{plain}/embeddings.parquet")
+    vectors.selectExpr("'k' AS key", "embedding", "embedding AS vector", "vec_id", "'d' AS deviation", "1 AS n").write.parquet(f"{odd}/embeddings.parquet")
     for name, query in QUERIES.items():
         if name[:4] not in ("op7_", "op8_"):
             assert rows_of(query(spark, odd), "shard", "shard_bytes") == rows_of(query(spark, plain), "shard", "shard_bytes"), name
