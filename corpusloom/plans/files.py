@@ -9,7 +9,7 @@ from corpusloom.functions import jsontext
 from corpusloom.functions import text as texts
 from corpusloom.operators import records
 from corpusloom.plans.catalog import query
-from corpusloom.sources import formats, keyed, lines
+from corpusloom.sources import formats, keyed, lineindex, lines
 from corpusloom.streaming.events import working_folder
 
 
@@ -146,3 +146,17 @@ def merged_files(t, spark, sf_dir):
     table.delete(docs.filter("doc_id % 11 = 3").unionByName(docs.select((F.col("doc_id") + 40).alias("doc_id"), "lang", "pos").filter("doc_id % 11 = 3")))
     now = table.read().select(F.lit("after").alias("version"), "doc_id", "lang")
     return now.unionByName(table.read(first).select(F.lit("before").alias("version"), "doc_id", "lang"))
+
+
+@query("""WITH placed AS (SELECT event_id, event_type, count(*) OVER () AS total, row_number() OVER (ORDER BY event_id DESC) - 1 AS place FROM events)
+SELECT p.page, event_id, total FROM placed JOIN (VALUES (20, 50), (400, 500)) p(page, n) ON place >= page AND place < page + n WHERE event_type NOT IN ('click', 'view')""")
+def pages_by_index(t, spark, sf_dir):
+    """The lines of ``page_of_lines`` in files that are indexed; two pages are read, each from the blocks that hold it."""
+    folder, kind = working_folder(spark), F.col("event_type")
+    line = F.when(kind == "click", F.lit("{")).when(kind == "view", F.concat(F.lit("["), "event_id", F.lit("]"))).otherwise(F.to_json(F.struct("event_id")))
+    rows = t("events").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    rows.select(F.explode(F.array(line, F.lit(" "))).alias("value")).write.text(f"{folder}/lines")
+    index = lineindex.LineIndex(spark, f"{folder}/index")
+    index.extend(f"{folder}/lines")
+    pages = [index.page(at, n).withColumn("page", F.lit(at)) for at, n in ((20, 50), (400, 500))]
+    return pages[0].unionByName(pages[1]).select("page", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "total")
