@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators import records
+from corpusloom.operators import records, sketches, taggers
 from corpusloom.plans.catalog import query
 from corpusloom.streaming import events as streaming
 
@@ -141,3 +141,46 @@ def map_totals(t, spark, sf_dir):
     entries = F.create_map(F.col("c_mktsegment"), F.floor("c_acctbal").cast("bigint"))
     rows = t("customer").select(F.explode(entries).alias("c_mktsegment", "b"))
     return rows.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.sum("b").alias("balance"))
+
+
+@query("""WITH words AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS k FROM benchmark), texts AS (SELECT DISTINCT text FROM documents),
+found AS (SELECT text, count(*) AS n_tags, array_to_string(list(k ORDER BY len(k) DESC, k)[1:5], ' ') AS tags FROM texts JOIN words ON k <> '' AND contains(lower(text), k) GROUP BY text)
+SELECT doc_id, coalesce(n_tags, 0) AS n_tags, coalesce(tags, '') AS tags FROM documents LEFT JOIN found USING (text)""")
+def dictionary_tags(t, spark, sf_dir):
+    """Documents with the words of the benchmark that they hold, the longest five of them by name."""
+    words = t("benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).filter("word <> ''")
+    rank = F.struct(-F.length("word"), F.col("word"))
+    found = taggers.dictionary_tags(t("documents").select("doc_id", "text"), F.col("text"), words, F.col("word"), rank)
+    return found.select("doc_id", F.size("tags").cast("bigint").alias("n_tags"), F.array_join(F.slice("tags", 1, 5), " ").alias("tags"))
+
+
+@query("""SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_near, true AS quantiles_near FROM events GROUP BY event_type""")
+def sketched_counts(t, spark, sf_dir):
+    """Two arrivals of events as daily sketches, merged by type, beside exact figures: four standard errors, a fiftieth in rank."""
+    events = t("events").select("event_id", "event_type", "ts", "user_id", "value")
+    table = sketches.SketchTable(spark, streaming.working_folder(spark), F.col("ts"), ["event_type"], {"users": F.col("user_id")}, {"middle": F.col("value")})
+    for part in (0, 1):
+        table.append(events.filter(F.pmod("event_id", F.lit(2)) == part))
+    ranks = [0.1, 0.5, 0.9]
+    about = table.figures(table.merged(["event_type"]), ranks).withColumnRenamed("users", "about")
+    around = F.percentile("value", F.array(*(F.lit(r + d) for r in ranks for d in (-0.02, 0.02)))).alias("around")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), around)
+    near = F.abs(F.col("about") - F.col("users")) <= F.greatest(F.lit(1.0), 4 * sketches.count_error(table.lg_k) * F.col("users"))
+    held = F.lit(True)
+    for i in range(len(ranks)):
+        held &= F.col("middle")[i].between(F.col("around")[2 * i], F.col("around")[2 * i + 1])
+    return about.join(exact, "event_type").select("event_type", "n", "users", near.alias("users_near"), held.alias("quantiles_near"))
+
+
+@query("""WITH days AS (SELECT DISTINCT ts::DATE AS day FROM events)
+SELECT day, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_near FROM days JOIN events ON ts::DATE <= day AND ts::DATE > day - 7 GROUP BY day""")
+def trailing_users(t, spark, sf_dir):
+    """Users of the seven days up to each day: merged daily sketches, beside the exact figure."""
+    events = t("events").select("ts", "user_id")
+    table = sketches.SketchTable(spark, streaming.working_folder(spark), F.col("ts"), [], {"about": F.col("user_id")}, {})
+    table.append(events)
+    days = events.select(F.col("ts").cast("date").alias("day"), "user_id").distinct()
+    sent = days.select(F.explode(F.expr("transform(sequence(0, 6), i -> date_add(day, i))")).alias("day"), "user_id")
+    exact = sent.groupBy("day").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("about") - F.col("users")) <= F.greatest(F.lit(1.0), 4 * sketches.count_error(table.lg_k) * F.col("users"))
+    return table.figures(table.trailing(7)).join(exact, "day").select("day", "n", "users", near.alias("users_near"))
