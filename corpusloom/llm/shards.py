@@ -2,11 +2,15 @@
 
 A store is a folder with immutable data files and manifests. ``append`` writes an arrival as small shards, one a task.
 ``compact`` merges shards of one size tier, the largest at most FAN times the smallest, once FAN of them have gathered, into
-files of about TARGET_BYTES; what it writes may fill the next tier, so it goes on until none is full. Both then commit a manifest: the
-list of live shards under the next version number, put in place by a rename that fails if that version exists. Readers
-see the shards of one manifest; what a failed job has written is in none, and ``vacuum`` removes it. Only file names and
-sizes pass through the driver, as in any listing; rows are merged by tasks that read whole shards, without a shuffle, and the
-tiers of a round are merged at the same time.
+files of about TARGET_BYTES; what it writes may fill the next tier, so it goes on until none is full. Both then commit a manifest
+under the next version number, put in place by a rename that fails if that version exists. Readers
+see the shards of one manifest; what a failed job has written is in none, and ``vacuum`` removes it. Rows are merged by
+tasks that read whole shards, without a shuffle, and the tiers of a round are merged at the same time.
+
+A manifest is a list of segments: one line for each write, whose shards are listed in a file of its own that never changes. A commit
+writes the segments of what it adds and of what it takes shards from, and names the others. Shards that are too large to be merged aren't
+looked at by ``compact``, a segment none of whose shards is gone is read by its folder, and ``shards`` gives
+the shards of a version as a table, so what the driver handles grows with the writes, not with the shards.
 
 The rename is atomic on HDFS. The local file system and object stores look for the target first and rename then, so there
 two writers that commit at the same moment may both succeed: let one writer at a time commit, or lock by other means.
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
@@ -36,6 +40,8 @@ TARGET_BYTES = 128 << 20
 FAN = 4
 #: Names of the columns that tell a row's shard, its bytes and the version.
 LOCATION = ("_shard", "_shard_bytes", "_version")
+#: A line of a segment.
+SHARD = "path string, bytes long"
 #: Tiers that are merged at the same time.
 MERGES = 4
 #: Arrivals that ``op9_shards_size_tiered`` appends the table in.
@@ -48,6 +54,21 @@ class Shard:
     bytes: int
 
 
+@dataclass(frozen=True)
+class Segment:
+    """The live shards of one write, listed in the file ``name``: how many, how many of them may be merged, and their bytes.
+
+    Those of the folder ``folder`` are all live if ``whole``.
+    """
+
+    name: str
+    folder: str
+    shards: int
+    small: int
+    bytes: int
+    whole: bool = True
+
+
 class ManifestConflict(RuntimeError):
     """Another writer has committed the version first; read the manifest again and retry."""
 
@@ -81,17 +102,49 @@ class ShardStore:
         names = (s.getPath().getName() for s in self._fs.listStatus(folder))
         return sorted(int(n[1:-5]) for n in names if n[0] == "v" and n.endswith(".json"))
 
-    def manifest(self, version: int | None = None) -> tuple[int, list[Shard]]:
-        """The version, by default the last, and its shards; version 0 is the empty store."""
+    def _text(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def segments(self, version: int | None = None) -> tuple[int, list[Segment]]:
+        """The version, by default the last, and its segments; version 0 is the empty store."""
         version = max(self.versions(), default=0) if version is None else version
         if not version:
             return 0, []
-        text = self.spark.read.text(f"{self.root}/manifests/v{version:09d}.json", wholetext=True).first()[0]
-        return version, [Shard(**s) for s in json.loads(text)["shards"]]
+        return version, [Segment(**x) for x in json.loads(self._text(f"{self.root}/manifests/v{version:09d}.json"))["segments"]]
+
+    def _listed(self, segments: Iterable[Segment]) -> dict[Segment, list[Shard]]:
+        return {g: [Shard(**json.loads(x)) for x in self._text(f"{self.root}/segments/{g.name}").splitlines()] for g in segments}
+
+    def manifest(self, version: int | None = None) -> tuple[int, list[Shard]]:
+        """The version, by default the last, and its shards, all of them; ``shards`` gives them as a table."""
+        version, segments = self.segments(version)
+        return version, [s for listed in self._listed(segments).values() for s in listed]
+
+    def shards(self, version: int | None = None) -> DataFrame:
+        """(path, bytes) of the shards of a version."""
+        _, segments = self.segments(version)
+        if not segments:
+            return self.spark.createDataFrame([], SHARD)
+        return self.spark.read.schema(SHARD).json([f"{self.root}/segments/{g.name}" for g in segments])
+
+    def _segment(self, folder: str, shards: list[Shard], whole: bool = True) -> Segment:
+        """A new segment of ``shards``, which lie in ``folder`` below the folder of data."""
+        name = f"{uuid.uuid4().hex}.json"
+        out = self._fs.create(self._path(f"{self.root}/segments/{name}"), False)
+        out.write("".join(json.dumps(asdict(s)) + "\n" for s in shards).encode())
+        out.close()
+        return Segment(name, folder, len(shards), sum(map(self._small, shards)), sum(s.bytes for s in shards), whole)
+
+    def _small(self, shard: Shard) -> bool:
+        return shard.bytes <= self.target / 2
 
-    def _commit(self, version: int, shards: list[Shard]) -> int:
-        """Makes ``shards`` the version after ``version``, or raises ManifestConflict."""
-        content = json.dumps({"version": version + 1, "shards": [asdict(s) for s in shards]})
+    def _commit(self, version: int, segments: list[Segment]) -> int:
+        """Makes ``segments`` the version after ``version``, or raises ManifestConflict."""
+        content = json.dumps({"version": version + 1, "segments": [asdict(g) for g in segments]})
         folder = f"{self.root}/manifests"
         draft, final = self._path(f"{folder}/.draft-{uuid.uuid4().hex}"), self._path(f"{folder}/v{version + 1:09d}.json")
         out = self._fs.create(draft, False)
@@ -110,11 +163,11 @@ class ShardStore:
             raise
         return version + 1
 
-    def _written(self, rows: DataFrame) -> list[Shard]:
-        """The shards that ``rows`` are written to."""
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows.write.option("compression", "zstd").parquet(folder)
-        return self._files(folder)
+    def _written(self, rows: DataFrame) -> Segment:
+        """The segment of the shards that ``rows`` are written to."""
+        folder = uuid.uuid4().hex
+        rows.write.option("compression", "zstd").parquet(f"{self.root}/data/{folder}")
+        return self._segment(folder, self._files(f"{self.root}/data/{folder}"))
 
     def append(self, rows: DataFrame) -> int:
         """Adds the rows as small shards; the new version."""
@@ -126,53 +179,60 @@ class ShardStore:
         All are written in one pass; each is then committed. Rows without a value are an arrival, too.
         """
         (name,) = free_names(rows.columns, "_arrival")
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows.withColumn(name, arrival).write.option("compression", "zstd").partitionBy(name).parquet(folder)
+        folder = uuid.uuid4().hex
+        rows.withColumn(name, arrival).write.option("compression", "zstd").partitionBy(name).parquet(f"{self.root}/data/{folder}")
         arrivals: dict[str, list[Shard]] = {}
-        for shard in self._files(folder):
-            arrivals.setdefault(shard.path.rpartition("/")[0], []).append(shard)
+        for shard in self._files(f"{self.root}/data/{folder}"):
+            arrivals.setdefault(shard.path.rpartition("/")[0].rpartition("/")[2], []).append(shard)
         if not arrivals:  # a table without rows leaves no file, and its schema is to be kept
             return self.append(rows)
-        return [self._arrived(arrived) for _, arrived in sorted(arrivals.items())][-1]
+        return [self._arrived(self._segment(f"{folder}/{value}", arrived)) for value, arrived in sorted(arrivals.items())][-1]
 
-    def _arrived(self, arrived: list[Shard]) -> int:
+    def _arrived(self, arrived: Segment) -> int:
         while True:
-            version, shards = self.manifest()
+            version, segments = self.segments()
             try:
-                return self._commit(version, shards + arrived)
+                return self._commit(version, [*segments, arrived])
             except ManifestConflict:
                 continue  # appends never clash with what others commit
 
     def plan(self, shards: list[Shard]) -> list[list[Shard]]:
         """The runs to merge: FAN shards or more of similar size. Those of over half the target stay."""
         runs: list[list[Shard]] = []
-        for s in sorted((s for s in shards if s.bytes <= self.target / 2), key=lambda s: (s.bytes, s.path)):
+        for s in sorted(filter(self._small, shards), key=lambda s: (s.bytes, s.path)):
             if not runs or s.bytes > FAN * max(1, runs[-1][0].bytes):
                 runs.append([])
             runs[-1].append(s)
         return [run for run in runs if len(run) >= FAN]
 
-    def merge(self, run: list[Shard]) -> list[Shard]:
+    def merge(self, run: list[Shard]) -> Segment:
         parts = max(1, round(sum(s.bytes for s in run) / self.target))
-        return self._written(self._rows(run).coalesce(parts))
+        return self._written(self._rows([s.path for s in run]).coalesce(parts))
 
-    def _rows(self, shards: list[Shard]) -> DataFrame:
+    def _rows(self, paths: list[str]) -> DataFrame:
         # Names of folders aren't columns.
-        return self.spark.read.option("recursiveFileLookup", "true").parquet(*(s.path for s in shards))
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(*paths)
 
     def compact(self) -> int:
         """Merges full tiers until none is left; the last version."""
         while True:
-            version, shards = self.manifest()
-            runs = self.plan(shards)
+            version, segments = self.segments()
+            looked = self._listed(g for g in segments if g.small)
+            runs = self.plan([s for listed in looked.values() for s in listed])
             if not runs:
                 return version
             gone = {s.path for run in runs for s in run}
             with ThreadPoolExecutor(MERGES) as pool:
-                merged = [s for made in pool.map(inheritable_thread_target(self.spark)(self.merge), runs) for s in made]
-            kept = [s for s in shards if s.path not in gone]
-            if len(kept) + len(merged) >= len(shards):
+                merged = list(pool.map(inheritable_thread_target(self.spark)(self.merge), runs))
+            if sum(g.shards for g in merged) >= len(gone):
                 return version  # nothing would be gained
+            kept = [g for g in segments if g not in looked]
+            for g, listed in looked.items():
+                left = [s for s in listed if s.path not in gone]
+                if len(left) == len(listed):
+                    kept.append(g)
+                elif left:
+                    kept.append(self._segment(g.folder, left, whole=False))
             try:
                 self._commit(version, kept + merged)
             except ManifestConflict:
@@ -180,17 +240,35 @@ class ShardStore:
 
     def vacuum(self, keep_versions: int = 1) -> None:
         """Removes data files that the last ``keep_versions`` manifests don't list. No writer may be at work."""
-        live = {s.path for v in self.versions()[-keep_versions:] for s in self.manifest(v)[1]}
-        for s in self._files(f"{self.root}/data"):
-            if s.path not in live:
-                self._fs.delete(self._path(s.path), False)
+        live = [g for v in self.versions()[-keep_versions:] for g in self.segments(v)[1]]
+        whole, names = {g.folder for g in live if g.whole}, {g.name for g in live}
+        paths = {s.path for listed in self._listed({g for g in live if g.folder not in whole}).values() for s in listed}
+        for status in self._there(f"{self.root}/data"):
+            top = status.getPath().getName()
+            if top in whole:
+                continue
+            if not any(g.folder.partition("/")[0] == top for g in live):
+                self._fs.delete(status.getPath(), True)
+                continue
+            for s in self._files(f"{self.root}/data/{top}"):
+                within = f"{top}/{s.path.rpartition('/')[0].rpartition('/')[2]}"
+                if within not in whole and s.path not in paths:
+                    self._fs.delete(self._path(s.path), False)
+        for status in self._there(f"{self.root}/segments"):
+            if status.getPath().getName() not in names:
+                self._fs.delete(status.getPath(), False)
+
+    def _there(self, folder: str) -> list:
+        return list(self._fs.listStatus(self._path(folder))) if self._fs.exists(self._path(folder)) else []
 
     def read(self, version: int | None = None, names: Sequence[str] = LOCATION) -> DataFrame:
         """The rows of a version with their shard, its bytes and the version, under ``names``."""
-        version, shards = self.manifest(version)
-        if not shards:
+        version, segments = self.segments(version)
+        if not segments:
             raise ValueError("the store is empty")
-        rows = self._rows(shards)
+        parts = self._listed(g for g in segments if not g.whole)
+        folders = [f"{self.root}/data/{g.folder}" for g in segments if g.whole]
+        rows = self._rows(folders + [s.path for listed in parts.values() for s in listed])
         values = F.regexp_extract("_metadata.file_path", "/data/(.*)$", 1), F.col("_metadata.file_size"), F.lit(version)
         kept = [F.col(quoted(c)) for c in rows.columns if c not in names]
         return rows.select(*kept, *(v.alias(n) for n, v in zip(names, values, strict=True)))

@@ -485,11 +485,55 @@ def test_compaction_keeps_all_rows_and_versions(spark, tmp_path):
     assert len(after) < len(before)
     assert sorted(r["id"] for r in store.read().collect()) == sorted(r["id"] for r in store.read(5).collect()) == list(range(5000))
     with pytest.raises(shards.ManifestConflict):
-        store._commit(3, before)
+        store._commit(3, store.segments()[1])
     store.vacuum()
     assert {s.path for s in store._files(f"{tmp_path}/data")} == {s.path for s in after}
 
 
+def test_commits_write_their_own_segments(spark, tmp_path):
+    """A store of many shards: a commit lists what it adds, and takes the others by the names of their lists."""
+    store = shards.ShardStore(spark, str(tmp_path))
+    many = [shards.Shard(f"file:/none/data/x/{i}", shards.TARGET_BYTES) for i in range(100_000)]
+    assert store._arrived(store._segment("x", many)) == 1
+    lists = {f: f.stat().st_mtime_ns for f in (tmp_path / "segments").glob("*.json")}
+    for k in range(3):
+        store.append(spark.range(k * 10, k * 10 + 10, numPartitions=2))
+    now = {f: f.stat().st_mtime_ns for f in (tmp_path / "segments").glob("*.json")}
+    assert len(now) == 4 and lists.items() <= now.items()
+    assert sum(f.stat().st_size for f in now if f not in lists) < 2000 and (tmp_path / "manifests" / "v000000004.json").stat().st_size < 2000
+    assert store.shards().count() == 100_006 and store.shards(1).agg(F.sum("bytes")).first()[0] == 100_000 * shards.TARGET_BYTES
+    looked, listed = [], store._listed
+    store._listed = lambda g: looked.extend(g := list(g)) or listed(g)
+    assert store.compact() == 5 and {g.shards for g in looked} <= {1, 2}  # the list of large shards isn't read
+    assert max(g.shards for g in store.segments()[1]) == 100_000
+    assert store.shards().count() == 100_001
+
+
+def test_locations_are_those_of_the_files(spark, tmp_path):
+    """Shard, bytes and version of the rows against the files of the store, before and after some shards of a write are merged."""
+    store = shards.ShardStore(spark, str(tmp_path), target_bytes=60_000)
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.when(F.col("id") < 400, 40).otherwise(1)), lambda i: F.md5(F.concat(F.col("id").cast("string"), i.cast("string")))), "")
+    store.append(spark.range(0, 800, numPartitions=8).withColumn("t", text))  # half of the shards are large
+    store.append_each(spark.range(800, 900, numPartitions=2).withColumn("t", text), F.col("id") % 2)
+    for step in range(2):
+        rows = store.read().collect()
+        version, live = store.manifest()
+        sizes = {f"{p.relative_to(tmp_path / 'data')}": p.stat().st_size for p in (tmp_path / "data").rglob("*.parquet")}
+        assert sorted(r["id"] for r in rows) == list(range(900)) and {r["_version"] for r in rows} == {version} == {max(store.versions())}
+        assert {r["_shard"] for r in rows} == {s.path.partition("/data/")[2] for s in live}
+        assert all(sizes[r["_shard"]] == r["_shard_bytes"] for r in rows)
+        assert sorted((s.path, s.bytes) for s in live) == sorted(map(tuple, store.shards().collect()))
+        if not step:
+            store.compact()
+            assert any(not g.whole for g in store.segments()[1])
+            old = store.read(version).count()
+            store.vacuum()
+            assert old == 900
+            left = {s.path for s in store._files(f"{tmp_path}/data")}
+            assert left == {s.path for s in store.manifest()[1]}
+            assert {p.name for p in (tmp_path / "segments").glob("*.json")} == {g.name for g in store.segments()[1]}
+
+
 def plain_print(text):
     words = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     words = [w for w in "".join(c if c not in " \t\n\x0b\x0c\r" else " " for c in words).split(" ") if w]
