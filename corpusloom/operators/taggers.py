@@ -2,8 +2,9 @@
 
 A word is keyed by that of its character n-grams which fewest texts hold; a text can hold the word only if it holds that n-gram, so
 the join of the texts' n-grams with the keys finds all candidates, and each is then looked for in the text. A word with an n-gram that no
-text holds is never tried. Texts take part by their hash, so copies count once; only n-grams that are keys are joined, and texts
-themselves are moved once, to their candidates.
+text holds is never tried. Each different text is moved once, to the place of its hash, and stays there: its n-grams, its candidates and what is
+found in it. N-grams are counted where they are made, so only their counts are shuffled; the keys are written, so that Spark knows
+their size and either sends them to the texts or, beyond its bound for that, deals n-grams and keys by a shuffle.
 
 Case doesn't count. Words that are null have no part, repeated ones count once, with their smallest rank; the empty word is in
 every text that isn't null. A text that is null or holds no word has no tags. Texts of any length are taken in pieces.
@@ -39,24 +40,30 @@ def keyed_words(texts: DataFrame, words: DataFrame, sizes: list[int]) -> DataFra
     size = f"least(length(word), {GRAM})"
     grams = F.expr(f"array_distinct(transform(sequence(1, length(word) - {size} + 1), i -> substring(word, i, {size})))")
     each = words.select("word", "rank", F.explode(grams).alias("gram"))
-    asked = each.select("gram").distinct()
-    held = _texts_grams(texts, sizes).join(asked, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    held = _texts_grams(texts, sizes).groupBy("gram").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest")
     return each.join(held, "gram", "left").groupBy("word", "rank").agg(rarest).filter("rarest.n > 0").select("rarest.gram", "word", "rank")
 
 
-def dictionary_tags(rows: DataFrame, text: Column, words: DataFrame, word: Column, rank: Column, limit: int | None = None, name: str = "tags") -> DataFrame:
-    """``rows`` with the lower-cased words that ``text`` holds, as an array by rank and then by word, of ``limit`` at most."""
-    lowered, hashed, found = free([*rows.columns, name], "_lowered", "_hash", "_found")
+def dictionary_tags(
+    rows: DataFrame, text: Column, words: DataFrame, word: Column, rank: Column, folder: str, limit: int | None = None, name: str = "tags"
+) -> DataFrame:
+    """``rows`` with the lower-cased words that ``text`` holds, as an array by rank and then by word, of ``limit`` at most.
+
+    The keys of the words are kept in ``folder``, a new one that all executors share.
+    """
+    hashed, found = free([*rows.columns, name], "_hash", "_found")
     ranked = words.select(F.lower(word).alias("word"), rank.alias("rank")).filter("word IS NOT NULL").groupBy("word").agg(F.min("rank").alias("rank"))
     sizes = sorted(r[0] for r in ranked.select(F.least(F.length("word"), F.lit(GRAM))).distinct().collect())  # GRAM + 1 values at most
-    read = rows.withColumns({lowered: F.lower(text), hashed: F.sha2(F.lower(text), 256)})
     kept = [c for c, n in zip(own(rows), rows.columns, strict=True) if n.lower() != name.lower()]
     if not sizes:
-        return read.select(*kept, F.array().cast("array<string>").alias(name))
-    texts = read.filter(col(lowered).isNotNull()).select(col(hashed).alias("hash"), col(lowered).alias("text"))
-    pairs = _texts_grams(texts, sizes).join(keyed_words(texts, ranked, sizes), "gram")
-    tried = pairs.groupBy(F.col("hash").alias(hashed)).agg(F.array_sort(F.collect_set(F.struct("rank", "word"))).alias(found))
-    held = F.filter(col(found), lambda x: F.contains(col(lowered), x["word"]))
+        return rows.select(*kept, F.array().cast("array<string>").alias(name))
+    read = rows.withColumn(hashed, F.unhex(F.sha2(F.lower(text), 256)))
+    texts = read.filter(col(hashed).isNotNull()).select(col(hashed).alias("hash"), F.lower(text).alias("text")).groupBy("hash").agg(F.first("text").alias("text"))
+    keyed_words(texts, ranked, sizes).write.parquet(folder)
+    keys = rows.sparkSession.read.parquet(folder)
+    tried = _texts_grams(texts, sizes).join(keys, "gram").groupBy("hash").agg(F.array_sort(F.collect_set(F.struct("rank", "word"))).alias("tried"))
+    held = F.filter("tried", lambda x: F.contains(F.col("text"), x["word"]))
     tags = F.transform(held if limit is None else F.slice(held, 1, limit), lambda x: x["word"])
-    return read.join(tried, hashed, "left").select(*kept, F.coalesce(tags, F.array().cast("array<string>")).alias(name))
+    tagged = texts.join(tried, "hash").select(F.col("hash").alias(hashed), tags.alias(found))
+    return read.join(tagged, hashed, "left").select(*kept, F.coalesce(col(found), F.array().cast("array<string>")).alias(name))

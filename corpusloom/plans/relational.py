@@ -149,8 +149,8 @@ SELECT doc_id, coalesce(n_tags, 0) AS n_tags, coalesce(tags, '') AS tags FROM do
 def dictionary_tags(t, spark, sf_dir):
     """Documents with the words of the benchmark that they hold, the longest five of them by name."""
     words = t("benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).filter("word <> ''")
-    rank = F.struct(-F.length("word"), F.col("word"))
-    found = taggers.dictionary_tags(t("documents").select("doc_id", "text"), F.col("text"), words, F.col("word"), rank)
+    docs, folder = t("documents").select("doc_id", "text"), streaming.working_folder(spark)
+    found = taggers.dictionary_tags(docs, F.col("text"), words, F.col("word"), -F.length("word"), folder)
     return found.select("doc_id", F.size("tags").cast("bigint").alias("n_tags"), F.array_join(F.slice("tags", 1, 5), " ").alias("tags"))
 
 

@@ -1,5 +1,6 @@
 """Tags by a dictionary join: those of the plain test of each word on each text."""
 
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import keyword_tags
 from corpusloom.operators import taggers
 
+number = itertools.count()
 TEXTS = "id long, text string, _hash string, tags long"
 
 
@@ -14,7 +16,7 @@ def plain(text, words, limit):
     return [] if text is None else [w for w in words if w in text.lower()][:limit]
 
 
-def test_as_many_words_as_a_large_dictionary_has(spark):
+def test_as_many_words_as_a_large_dictionary_has(spark, tmp_path):
     draw = random.Random(3)
     words = sorted({"".join(draw.choices("abcdefgh", k=draw.randrange(4, 9))) for _ in range(140_000)})[:100_000]
     draw.shuffle(words)
@@ -22,16 +24,16 @@ def test_as_many_words_as_a_large_dictionary_has(spark):
     texts = ["".join(draw.choices("abcdefgh ABC", k=draw.randrange(400))) for _ in range(80)]
     rows = spark.createDataFrame([(i, t, "h", i) for i, t in enumerate(texts + texts[:20])], TEXTS)
     known = spark.createDataFrame(list(enumerate(words)), "rank long, word string")
-    got = {r["id"]: r["tags"] for r in taggers.dictionary_tags(rows, F.col("text"), known, F.col("word"), F.col("rank"), 5).collect()}
+    got = {r["id"]: r["tags"] for r in taggers.dictionary_tags(rows, F.col("text"), known, F.col("word"), F.col("rank"), f"{tmp_path}/{next(number)}", 5).collect()}
     assert got == {i: plain(t, words, 5) for i, t in enumerate(texts + texts[:20])}
     assert sum(map(len, got.values())) > 100
     small = words[:200]
     few = known.filter(F.col("rank") < 200)
-    both = taggers.dictionary_tags(rows, F.col("text"), few, F.col("word"), F.col("rank"), 3, "found").withColumn("plain", keyword_tags(F.col("text"), small, 3))
+    both = taggers.dictionary_tags(rows, F.col("text"), few, F.col("word"), F.col("rank"), f"{tmp_path}/{next(number)}", 3, "found").withColumn("plain", keyword_tags(F.col("text"), small, 3))
     assert both.filter("found <> plain").count() == 0 and both.columns == ["id", "text", "_hash", "tags", "found", "plain"]
 
 
-def test_short_empty_and_strange_words(spark, monkeypatch):
+def test_short_empty_and_strange_words(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(taggers, "PIECE", 7)  # words across pieces
     words = ["Über", "", "a", "ßx", "😀😀😀b", "x\ny", "the longest word of all of them", "A", ".*", "zz"]
     texts = [None, "", "a", "ÜBER\nx\ny and the Longest word of all of them", "😀😀😀😀b .*", "ßx" * 9, "q" * 40 + "über", "zqz", "Z" * 15]
@@ -39,13 +41,13 @@ def test_short_empty_and_strange_words(spark, monkeypatch):
     rows = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)] + [(3, texts[3], None, None)], TEXTS)
     order = list(dict.fromkeys(w.lower() for w in words))
     for limit in (None, 2):
-        got = taggers.dictionary_tags(rows, F.col("text"), known, F.col("word"), F.col("rank"), limit).collect()
+        got = taggers.dictionary_tags(rows, F.col("text"), known, F.col("word"), F.col("rank"), f"{tmp_path}/{next(number)}", limit).collect()
         assert len(got) == len(texts) + 1
         for r in got:
             assert r["tags"] == plain(r["text"], order, limit), r["text"]
-    none = taggers.dictionary_tags(rows, F.col("text"), known.limit(0), F.col("word"), F.col("rank"))
+    none = taggers.dictionary_tags(rows, F.col("text"), known.limit(0), F.col("word"), F.col("rank"), f"{tmp_path}/{next(number)}")
     assert [r["tags"] for r in none.collect()] == [[]] * 10
-    assert taggers.dictionary_tags(rows.limit(0), F.col("text"), known, F.col("word"), F.col("rank")).count() == 0
+    assert taggers.dictionary_tags(rows.limit(0), F.col("text"), known, F.col("word"), F.col("rank"), f"{tmp_path}/{next(number)}").count() == 0
 
 
 def test_words_are_keyed_by_their_rarest_part(spark):
