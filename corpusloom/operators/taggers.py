@@ -62,8 +62,8 @@ def dictionary_tags(
     texts = read.filter(col(hashed).isNotNull()).select(col(hashed).alias("hash"), F.lower(text).alias("text")).groupBy("hash").agg(F.first("text").alias("text"))
     keyed_words(texts, ranked, sizes).write.parquet(folder)
     keys = rows.sparkSession.read.parquet(folder)
-    tried = _texts_grams(texts, sizes).join(keys, "gram").groupBy("hash").agg(F.array_sort(F.collect_set(F.struct("rank", "word"))).alias("tried"))
-    held = F.filter("tried", lambda x: F.contains(F.col("text"), x["word"]))
+    tried = _texts_grams(texts, sizes).join(keys, "gram").groupBy("hash").agg(F.collect_set(F.struct("rank", "word")).alias("tried"))
+    held = F.sort_array(F.filter("tried", lambda x: F.contains(F.col("text"), x["word"])))
     tags = F.transform(held if limit is None else F.slice(held, 1, limit), lambda x: x["word"])
     tagged = texts.join(tried, "hash").select(F.col("hash").alias(hashed), tags.alias(found))
     return read.join(tagged, hashed, "left").select(*kept, F.coalesce(col(found), F.array().cast("array<string>")).alias(name))
