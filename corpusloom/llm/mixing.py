@@ -224,7 +224,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Exactly the columns of ``docs`` are returned; n_chars, if present, follows the text. A document without words takes
     nothing, so it has no row. Texts are read once for their sizes and once for the rows; between the two only ids and sizes
-    are shuffled. Rows of equal doc_id and text are numbered, so that each meets one plan.
+    are shuffled. Rows of equal doc_id and text are numbered by what their other columns hold, so that each meets one plan, the same in each run.
     """
     key, number, passes, picked, whole = free_names(docs.columns, "_key", "_number", "_passes", "_picked", "_whole")
     row_key = F.xxhash64("doc_id", "text")
@@ -235,8 +235,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     if plan.groupBy("_plan_id", "_plan_key").count().filter("count > 1").isEmpty():
         joined = keyed.join(plan, id_.eqNullSafe(plan_id) & (F.col(key) == plan_key))
     else:
-        row = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
-        keyed, plan = keyed.withColumn(number, row("doc_id", key)), plan.withColumn("_plan_number", row("_plan_id", "_plan_key"))
+        others = [F.col(quoted(c)) for c in docs.columns if c not in ("doc_id", "text")]
+        rest = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+        keyed = keyed.withColumn(number, F.row_number().over(Window.partitionBy("doc_id", quoted(key)).orderBy(rest)))
+        order = Window.partitionBy("_plan_id", "_plan_key").orderBy(quoted(passes), quoted(picked))
+        plan = plan.withColumn("_plan_number", F.row_number().over(order))
         same = keyed["doc_id"].eqNullSafe(plan["_plan_id"]) & (keyed[quoted(key)] == plan["_plan_key"])
         joined = keyed.join(plan, same & (keyed[quoted(number)] == plan["_plan_number"]))
     at = docs.columns.index("text")
