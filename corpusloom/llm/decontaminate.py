@@ -42,23 +42,45 @@ SHARD_BYTES = 12 << 20
 END, OTHER = 0, 1
 
 
+def _same(row: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For windows (places in ``row``) a number that equal ones share, from words joined one at a time to what stands before them."""
+    many = int(row.max(initial=0)) + 1
+    number = np.zeros(len(ends), dtype=np.int64)
+    for back in range(int(lengths.max(initial=0))):
+        symbol = np.where(lengths > back, row[np.maximum(ends - 1 - back, 0)], 0)
+        number = np.unique(number * many + symbol, return_inverse=True)[1]
+    return number
+
+
 class Phrases:
-    """The distinct windows of a block of benchmark items, as symbols."""
+    """The distinct windows of a block of benchmark items: places in the row of all words of the items, which are symbols."""
 
     def __init__(self, items: list[tuple[str, bytes]]):
         self.ids = sorted({i for i, _ in items})
         number = {x: k for k, x in enumerate(self.ids)}
         self.symbols: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = {}
-        for item, text in items:
-            words = [self.symbols.setdefault(w, len(self.symbols) + 2) for w in item_words(text)]
-            for i in range(max(len(words) - WINDOW, 0) + 1 if words else 0):
-                owners.setdefault(tuple(words[i : i + WINDOW]), set()).add(number[item])
-        self.lengths = np.array([len(w) for w in owners], dtype=np.int64)
-        self.windows = np.array([(0,) * (WINDOW - len(w)) + w for w in owners], dtype=np.int64).reshape(-1, WINDOW)
-        many = np.array([len(x) for x in owners.values()], dtype=np.int64)
-        self.first = np.r_[0, np.cumsum(many)].astype(np.int64)
-        self.owners = np.array([k for x in owners.values() for k in sorted(x)], dtype=np.int64)
+        pieces = [np.zeros(0, dtype=np.int32)]
+        for _, text in items:
+            words = item_words(text)
+            pieces.append(np.fromiter((self.symbols.setdefault(w, len(self.symbols) + 2) for w in words), dtype=np.int32, count=len(words)))
+        self.row = np.concatenate(pieces)
+        sizes = np.array([len(p) for p in pieces[1:]], dtype=np.int64)
+        many = np.where(sizes > 0, np.maximum(sizes - WINDOW, 0) + 1, 0)
+        starts = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        lengths = np.repeat(np.minimum(sizes, WINDOW), many)
+        _, first, same = np.unique(_same(self.row, starts + lengths, lengths), return_index=True, return_inverse=True)
+        self.lengths = lengths[first]
+        self.ends = starts[first] + self.lengths
+        owner = np.repeat(np.array([number[i] for i, _ in items], dtype=np.int64), many)
+        owned = np.unique(same * max(len(self.ids), 1) + owner)
+        self.owners = owned % max(len(self.ids), 1)
+        self.first = np.searchsorted(owned, np.arange(len(first) + 1) * max(len(self.ids), 1))
+
+    @property
+    def windows(self) -> np.ndarray:
+        """The windows themselves, one a row, right-aligned behind zeros."""
+        back = np.arange(WINDOW, 0, -1)
+        return np.where(self.lengths[:, None] >= back, self.row[np.maximum(self.ends[:, None] - back, 0)], 0)
 
 
 def search_shard(texts: list[bytes], phrases: Phrases | SimpleNamespace) -> tuple[np.ndarray, list[np.ndarray], list[list[int]]]:
@@ -72,11 +94,11 @@ def search_shard(texts: list[bytes], phrases: Phrases | SimpleNamespace) -> tupl
         pieces.append(np.zeros(1, dtype=np.int32))
     masks = [np.zeros(0, dtype=bool)] * len(texts)
     items: list[list[int]] = [[] for _ in texts]
-    if not len(phrases.windows) or not sizes.any():
+    if not len(phrases.ends) or not sizes.any():
         return sizes, masks, items
     starts = np.r_[0, np.cumsum(sizes + 1)]
     index = FMIndex(np.concatenate(pieces), len(phrases.symbols) + 2)
-    low, high = index.search(phrases.windows, phrases.lengths)
+    low, high = index.search_places(phrases.row, phrases.ends, phrases.lengths)
     found = np.flatnonzero(low < high)
     many = (high - low)[found]
     window = np.repeat(found, many)

@@ -104,16 +104,19 @@ class FMIndex:
         return symbol
 
     def search(self, phrases: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix-array ranges [low, high) of the phrases, one a row, right-aligned; by backward search."""
-        low = np.zeros(len(phrases), dtype=np.int64)
-        high = np.full(len(phrases), self.n, dtype=np.int64)
-        width = phrases.shape[1]
-        live = np.arange(len(phrases))
-        for back in range(width):
+        """Suffix-array ranges [low, high) of the phrases, one a row, right-aligned."""
+        return self.search_places(phrases.ravel(), np.arange(1, len(phrases) + 1) * phrases.shape[1], lengths)
+
+    def search_places(self, row: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix-array ranges [low, high) of phrases that end before places of ``row``; by backward search."""
+        low = np.zeros(len(ends), dtype=np.int64)
+        high = np.full(len(ends), self.n, dtype=np.int64)
+        live = np.arange(len(ends))
+        for back in range(int(lengths.max(initial=0))):
             live = live[(lengths[live] > back) & (low[live] < high[live])]
             if not len(live):
                 break
-            symbol = phrases[live, width - 1 - back] + 1
+            symbol = row[ends[live] - 1 - back].astype(np.int64) + 1
             low[live] = self.starts[symbol] + self.rank(symbol, low[live])
             high[live] = self.starts[symbol] + self.rank(symbol, high[live])
         return low, high

@@ -93,6 +93,37 @@ def test_blocks_of_items_give_the_same_and_spans_are_cut(spark, monkeypatch):
     assert rows.join(docs, ["doc_id", "text"]).count() == sum(not r[-1] for r in once)
 
 
+def test_windows_of_items_and_their_owners():
+    """Repeated items and windows, items of one word, of none, and shorter than a window."""
+    draw = random.Random(8)
+    for _ in range(50):
+        items = [(str(draw.randrange(6)), " ".join(draw.choices("ab", k=draw.choice((0, 1, 3, 9, 10, 11, 30)))).encode()) for _ in range(draw.randrange(9))]
+        held, want = decontaminate.Phrases(items), defaultdict(set)
+        names = {v: k for k, v in held.symbols.items()}
+        for item, text in items:
+            words = text.split()
+            for i in range(max(len(words) - 10, 0) + 1 if words else 0):
+                want[tuple(words[i : i + 10])].add(item)
+        got = {}
+        for k, (end, n) in enumerate(zip(held.ends, held.lengths, strict=True)):
+            owners = [held.ids[i] for i in held.owners[held.first[k] : held.first[k + 1]]]
+            assert owners == sorted(set(owners))
+            got[tuple(names[x] for x in held.row[end - n : end])] = set(owners)
+        assert got == want and len(held.ends) == len(want)
+
+
+def test_plans_of_repeated_rows_do_not_depend_on_the_order(spark):
+    """Rows of one doc_id and text that differ in other columns: each has the same plan however the rows lie."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, s, f"n{i}") for s in "abc" for i in range(4)] + [(2, "x " * 900, "d", "n")]
+    runs = []
+    for seed in (1, 2, 3):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, note string").repartition(seed)
+        runs.append(sorted(map(tuple, mixing.mixed_documents(docs).collect())))
+    assert runs[0] and runs[0] == runs[1] == runs[2]
+
+
 def test_long_items_in_pieces_have_the_same_windows(monkeypatch):
     draw = random.Random(4)
     text = " ".join(f"w{draw.randrange(50)}" for _ in range(500)).encode()
