@@ -150,8 +150,8 @@ def dictionary_tags(t, spark, sf_dir):
     """Documents with the words of the benchmark that they hold, the longest five of them by name."""
     words = t("benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).filter("word <> ''")
     docs, folder = t("documents").select("doc_id", "text"), streaming.working_folder(spark)
-    found = taggers.dictionary_tags(docs, F.col("text"), words, F.col("word"), -F.length("word"), folder)
-    return found.select("doc_id", F.size("tags").cast("bigint").alias("n_tags"), F.array_join(F.slice("tags", 1, 5), " ").alias("tags"))
+    found = taggers.dictionary_tags(docs, F.col("text"), words, F.col("word"), -F.length("word"), folder, 5, count="n_tags")
+    return found.select("doc_id", "n_tags", F.array_join("tags", " ").alias("tags"))
 
 
 @query("""SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_near, true AS quantiles_near FROM events GROUP BY event_type""")

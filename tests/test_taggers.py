@@ -55,3 +55,22 @@ def test_words_are_keyed_by_their_rarest_part(spark):
     words = spark.createDataFrame([("the quiz", 1), ("the thing", 2), ("the zebra", 3)], "word string, rank long")
     keys = {r["word"]: r["gram"] for r in taggers.keyed_words(texts, words, [3]).collect()}
     assert set(keys) == {"the quiz", "the thing"} and keys["the quiz"] in {" qu", "e q", "qui", "uiz"}
+
+
+def test_words_are_looked_for_in_different_tokens_once(spark, tmp_path, monkeypatch):
+    """Whatever part of the tokens is sent to the texts; the number of words is that of all, whatever the limit."""
+    draw = random.Random(5)
+    tokens = ["".join(draw.choices("abc", k=draw.randrange(1, 5))) for _ in range(60)]
+    words = ["", " ", "\n", "a", "ab", "abc", "b\nc", "a b", "c\t", " b", "a\nb c", "no such", "ca", "bcab"]
+    texts = [None, "", " ", *("".join(draw.choice(tokens) + draw.choice(" \n\t ") for _ in range(draw.randrange(40))) for _ in range(40))]
+    known = spark.createDataFrame(list(enumerate(words)), "rank long, word string")
+    rows = spark.createDataFrame([(i, t, "h", i) for i, t in enumerate(texts + texts[:9])], TEXTS)
+    for sent in (0, 2000, 1 << 25):
+        monkeypatch.setattr(taggers, "KNOWN", sent)
+        folder = f"{tmp_path}/{next(number)}"
+        got = taggers.dictionary_tags(rows, F.col("text"), known, F.col("word"), F.col("rank"), folder, 4, count="n").collect()
+        assert len(got) == len(texts) + 9
+        for r in got:
+            assert (r["tags"], r["n"]) == (plain(r["text"], words, 4), len(plain(r["text"], words, None))), r["text"]
+        seen = spark.read.parquet(f"{folder}/tokens")
+        assert seen.count() == seen.select("token").distinct().count() <= len(tokens) + 1
