@@ -110,6 +110,19 @@ def test_as_of_and_ranges_at_their_edges(spark):
     assert got == [("in", 0.0), ("in", 9.99), ("wide", -1.5), ("wide", 0.0), ("wide", 9.99), ("wide", 10.0)]
 
 
+def test_pairs_of_one_piece_are_dealt_out(spark):
+    """All rows and ranges lie in one piece: as many pairs as before, and no task has more than a few hundredths of them."""
+    points = spark.range(6000).coalesce(1).select(F.col("id").alias("p"), (F.col("id") % 97 / 10).alias("x"), F.create_map("id", "id").alias("m"))
+    ranges = spark.range(5000).select(F.col("id").alias("r"), (F.col("id") % 89 / 10).alias("b"), (F.col("id") % 89 / 10 + 0.35).alias("e"))
+    given = ranges.unionByName(spark.range(1).selectExpr("-1L r", "-1e3D b", "1e3D e")).coalesce(1)
+    got = records.in_ranges(points, given, "x", "b", "e", 10.0)
+    want = points.crossJoin(ranges).filter("x >= b AND x < e").select("p", "r")
+    assert got.filter("r >= 0").selectExpr("count(*) n", "sum(hash(p, r)) h").first() == want.selectExpr("count(*) n", "sum(hash(p, r)) h").first()
+    assert got.filter("r < 0").count() == 6000 and got.columns == ["p", "x", "m", "r", "b", "e"]
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(shares) < 0.6 * sum(shares) and len(shares) >= 3
+
+
 def test_tables_in_other_formats(spark, tmp_path):
     rows = spark.createDataFrame([(1, 'a "b", c', 0.5), (2, "", None), (3, None, 1.5), (4, "two\nlines", 0.0)], "i long, s string, x double")
     for kind in formats.OPTIONS:
