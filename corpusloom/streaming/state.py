@@ -8,12 +8,15 @@ back; then a timer takes it out of the state.
 
 from __future__ import annotations
 
+import datetime
+import heapq
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -82,31 +85,39 @@ class ActiveKeys(StatefulProcessor):
 
 
 class LastRows(StatefulProcessor):
-    """The last ``k`` rows of each key, as a list in order."""
+    """The last ``k`` rows of each key, as a list in order; nulls count as last, and of equal ones those that come later.
+
+    It takes rows as they are: a key has few in a batch, and a frame for each of very many keys would cost far more than its rows.
+    """
 
     def __init__(self, schema: T.StructType, order: list[str], k: int):
-        self.schema, self.order, self.k = schema, order, k
+        self.schema, self.k = schema, k
+        self.at = [schema.names.index(c) for c in order]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rows = handle.getListState("rows", self.schema)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        def every() -> Iterator[pd.DataFrame]:
-            if self.rows.exists():
-                yield pd.DataFrame([tuple(r) for r in self.rows.get()], columns=self.schema.names)
-            yield from rows
+    def _by(self, numbered: tuple[int, tuple]) -> tuple:
+        number, row = numbered
+        # times come with their zone in rows and in the local one, unnamed, from the store
+        place = (x.astimezone(datetime.UTC) if isinstance(x, datetime.datetime) else x for x in _place(row, self.at))
+        return (*((True, None) if x is None or x != x else (False, x) for x in place), number)
 
-        kept = _latest(every(), self.order, self.k)
-        self.rows.put([tuple(x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in r) for r in kept])
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        old = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
+        kept = heapq.nlargest(self.k, enumerate(chain(old, map(tuple, rows))), key=self._by)
+        self.rows.put([r for _, r in reversed(kept)])
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _run(stream: DataFrame, key: str, processor: StatefulProcessor, folder: str, time_mode: str) -> None:
+def _run(stream: DataFrame, key: str, processor: StatefulProcessor, folder: str, time_mode: str, frames: bool = True) -> None:
     with rocks(stream.sparkSession):
-        out = stream.groupBy(key).transformWithStateInPandas(processor, f"{key} string", "Update", time_mode)
+        keyed = stream.groupBy(key)
+        run = keyed.transformWithStateInPandas if frames else keyed.transformWithState
+        out = run(processor, f"{key} string", "Update", time_mode)
         drain(out, folder, "update", each=lambda batch, _: batch.count())
 
 
@@ -127,5 +138,5 @@ def active_keys(stream: DataFrame, key: str, order: list[str], done: str, time:
 
 def last_rows(stream: DataFrame, key: str, order: list[str], k: int, folder: str) -> DataFrame:
     """The last ``k`` rows of each key of all that the stream has brought; the state is in ``folder``."""
-    _run(stream, key, LastRows(stream.schema, order, k), folder, "None")
+    _run(stream, key, LastRows(stream.schema, order, k), folder, "None", frames=False)
     return held(stream.sparkSession, folder, "rows", lists=True)

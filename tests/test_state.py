@@ -41,6 +41,15 @@ def test_last_rows_over_restarts(spark, tmp_path):
         assert sorted(r["n"] for r in got.collect()) == expected
 
 
+def test_last_rows_take_nulls_as_last_and_no_frames(spark, tmp_path, monkeypatch):
+    """Rows without a place come last and keep their nulls; no frame is made for a key."""
+    folder = str(tmp_path)
+    monkeypatch.setattr(state, "_latest", None)
+    for rows, want in (([("a", 3, 1, True), ("a", 3, None, False), ("b", 1, 2, None)], {("a", 1), ("a", None), ("b", 2)}), ([("a", 9, 5, True), ("b", 0, 1, True), ("c", 1, None, None)], {("a", None), ("a", 5), ("b", 1), ("b", 2), ("c", None)})):
+        got = state.last_rows(arrive(spark, folder, rows), "k", ["at", "n"], 2, folder)
+        assert {(r["k"], r["n"]) for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_the_tail_gives_each_row_once(spark, tmp_path):
     folder, seen = str(tmp_path), []
     for low, high in ((0, 1000), (1000, 1001), (1001, 1400), (1400, 1400)):
