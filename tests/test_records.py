@@ -123,6 +123,25 @@ def test_pairs_of_one_piece_are_dealt_out(spark):
     assert max(shares) < 0.6 * sum(shares) and len(shares) >= 3
 
 
+def test_rows_and_ranges_of_a_piece_are_sent_as_often_however_many(spark, monkeypatch, tmp_path):
+    """Twice the rows and ranges are sent twice as often, not four times; files of the pairs are small; equal ranges stay apart."""
+    monkeypatch.setattr(records, "CHUNK", 25)
+    sent, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "repartition", lambda self, *a, f=frame.repartition: (sent.append(self.count()), f(self, *a))[1])
+    for n in (2000, 4000):
+        points = spark.range(n).select(F.col("id").alias("p"), (F.hash("id") % 1000 / 100).alias("x")).filter("x >= 0")
+        ranges = spark.range(n).select(F.col("id").alias("r"), (F.col("id") % 1000 / 100).alias("b"), F.create_map("id", "id").alias("m"))
+        ranges = ranges.select("r", "b", (F.col("b") + 5).alias("e"), "m")
+        got = records.in_ranges(points, ranges, "x", "b", "e", 10.0)
+        want = points.crossJoin(ranges).filter("x >= b AND x < e").agg(F.count("*"), F.sum(F.hash("p", "r"))).first()
+        assert got.agg(F.count("*"), F.sum(F.hash("p", "r"))).first() == want and got.columns == ["p", "x", "r", "b", "e", "m"]
+    assert len(sent) == 4 and sum(sent[:2]) < 20 * 2000 and sum(sent[2:]) < 2.5 * sum(sent[:2])
+    got.select("p", "r").write.parquet(f"{tmp_path}/pairs")
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.6 * want[0]
+    same = spark.range(5000).selectExpr("2.0D b", "5.0D e")
+    assert records.in_ranges(points, same, "x", "b", "e", 10.0).count() == 5000 * points.filter("x >= 2 AND x < 5").count()
+
+
 def test_tables_in_other_formats(spark, tmp_path):
     rows = spark.createDataFrame([(1, 'a "b", c', 0.5), (2, "", None), (3, None, 1.5), (4, "two\nlines", 0.0)], "i long, s string, x double")
     for kind in formats.OPTIONS:
